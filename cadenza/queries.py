@@ -1,0 +1,6 @@
+"""Queries over the reference's operators, and their SQL twins."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
