@@ -14,6 +14,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -188,8 +189,6 @@ def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS, id_col: str = "doc
 
 def without_lines(text: Column, lines: Column) -> Column:
     """text without the given lines; texts that lose none don't leave the JVM."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def cut(texts: pd.Series, gone: pd.Series) -> pd.Series:
         out = []

@@ -13,6 +13,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,8 +72,6 @@ def weigher(spark, ratio: np.ndarray):
     """A column function text -> log importance weight: the sum of log ratios over the text's n-grams; 0 if it has none."""
     shared = spark.sparkContext.broadcast(ratio)
 
-    import pandas as pd
-
     @F.pandas_udf("double")
     def weight(texts: pd.Series) -> pd.Series:
         return pd.Series([float(shared.value[buckets(t)].sum()) for t in texts])

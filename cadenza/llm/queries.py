@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import mixing, simhash
+from cadenza.llm import linededup, mixing, quality, sentencepieces, simhash
 from cadenza.llm.common import table
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, whether sentencepiece gives the same, and whether they decode to the normalised text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepieces.encode(docs, sentencepieces.model_bytes()).select("doc_id", F.size("ids").alias("n_tokens"), "ids", "parity", "decodes")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without repeated blocks, and the numbers of the lines that went."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs, report="deleted_lines")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
     return found.select(F.col("id").alias("doc_id"), simhash.hexed(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -19,9 +31,18 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, rank in the draw and decision of every document."""
+    found = quality.sampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "log_weight", "rank", "kept")
+
+
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_line_dedup": op3_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_mixing": op6_mixing,
+    "op10_quality": op10_quality,
 }
 
 ORACLES = {

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import fresh, small_batches
 
 MARK = "▁"
+#: Where the vocabulary file is, unless a caller names another.
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 THREADS = 2
 #: Fixed values of the model file format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -177,6 +179,11 @@ class Encoder:
         return out
 
 
+def model_bytes(path: str = MODEL_PATH) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
+
+
 def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", ids: str = "ids", threads: int = THREADS, verify: bool = True) -> DataFrame:
     """docs with the ids of each text and, if verify, two columns more: parity (the sentencepiece library gives the same
     ids) and decodes (the ids give the text back, as normalised). Null text: all three null; empty text: no ids.
