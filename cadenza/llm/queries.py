@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import linededup, mixing, quality, sentencepieces, simhash
+from cadenza.llm import chat, linededup, mixing, quality, sentencepieces, simhash, warc
 from cadenza.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(docs, report="deleted_lines")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
     return found.select(F.col("id").alias("doc_id"), simhash.hexed(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -31,6 +35,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    tokenizer = chat.tokenizer_json()
+    return chat.digests(chat.format_turns(turns.union(more), tokenizer), tokenizer)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, rank in the draw and decision of every document."""
     found = quality.sampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -40,8 +52,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
+    "op4_warc": op4_warc,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_mixing": op6_mixing,
+    "op8_chat": op8_chat,
     "op10_quality": op10_quality,
 }
 
