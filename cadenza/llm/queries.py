@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import chat, linededup, mixing, quality, sentencepieces, simhash, warc
+from cadenza.llm import ann, caps, chat, linededup, mixing, quality, sentencepieces, simhash, warc
 from cadenza.llm.common import table
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    index, model = ann.build(vectors)
+    return ann.search(index, model, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, whether sentencepiece gives the same, and whether they decode to the normalised text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -35,6 +41,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -50,11 +60,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
     "op4_warc": op4_warc,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_mixing": op6_mixing,
+    "op7_caps": op7_caps,
     "op8_chat": op8_chat,
     "op10_quality": op10_quality,
 }
