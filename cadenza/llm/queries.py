@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import ann, caps, chat, linededup, mixing, quality, sentencepieces, simhash, warc
+from cadenza.llm import ann, caps, chat, linededup, lm, mixing, quality, sentencepieces, simhash, warc
 from cadenza.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns.union(more), tokenizer), tokenizer)
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, rank in the draw and decision of every document."""
     found = quality.sampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -68,6 +72,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_caps": op7_caps,
     "op8_chat": op8_chat,
+    "op9_lm": op9_lm,
     "op10_quality": op10_quality,
 }
 
