@@ -2,5 +2,181 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cadenza.operators import coverage, frames, metrics
+
+DAY = 86_400.0
+#: Events of a user are days apart, so gaps are measured in days here.
+LIMITS = {"gap_factor": 5.0, "min_gap_s": DAY, "action_gap_s": 3 * DAY}
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    role = F.when(F.col("event_type").isin("view", "click"), "stream").when(F.col("event_type").isin("purchase", "signup"), "action").otherwise("unclassified")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    return read(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("episode_index"), F.col("event_type").alias("topic"), role.alias("role"), (micros / 1e6).alias("ts"), micros.alias("us"), "value")
+
+
+def supplier_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
+    rows = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("episode_index"), *order, "l_discount", "l_tax")
+    return rows.withColumn("frame_index", F.row_number().over(frames.ordered(*order)).cast("long") - 1)
+
+
+def rounded(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+def topic_inventory(spark, sf_dir):
+    return coverage.topic_inventory(messages(spark, sf_dir)).select("episode_index", "topic", "message_count", F.round(F.col("last_ts") - F.col("first_ts"), 3).alias("duration"))
+
+
+def topic_coverage(spark, sf_dir):
+    found = coverage.topic_coverage(messages(spark, sf_dir), **LIMITS)
+    return found.withColumns({c: F.round(c, 3) for c in ("total_gap", "longest_gap")}).withColumn("avg_fps", F.round(F.col("avg_fps") * DAY, 6)).withColumn("coverage", F.round("coverage", 6))
+
+
+def worst_severity(spark, sf_dir):
+    return coverage.worst_severity(coverage.topic_coverage(messages(spark, sf_dir), **LIMITS))
+
+
+def rates(spark, sf_dir):
+    rows = coverage.topic_inventory(messages(spark, sf_dir)).filter("last_ts > first_ts")
+    return rows.select("episode_index", "topic", F.round((F.col("message_count") - 1) / (F.col("last_ts") - F.col("first_ts")) * DAY, 6).alias("avg_fps"))
+
+
+def fps_degradation(spark, sf_dir):
+    return rounded(coverage.fps_degradation(rates(spark, sf_dir)), "others_fps")
+
+
+def missing_expected(spark, sf_dir):
+    return coverage.missing_expected(messages(spark, sf_dir))
+
+
+def snap_fps(spark, sf_dir):
+    return read(spark, sf_dir, "lineitem").groupBy(coverage.snap_fps(F.col("l_quantity")).alias("fps")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def nearest_asof(spark, sf_dir):
+    rows = messages(spark, sf_dir)
+    left = rows.filter("topic = 'click'").select("event_id", "episode_index", F.col("us").alias("ts"))
+    right = rows.filter("topic = 'view'").select("episode_index", F.col("us").alias("ts"), F.col("event_id").alias("value"))
+    return frames.nearest_asof(left, right).select("event_id", F.col("nearest_value").alias("nearest_id"), F.abs(F.col("ts") - F.col("nearest_ts")).alias("dt"))
+
+
+def reindex(spark, sf_dir):
+    rows = supplier_frames(spark, sf_dir).filter("l_quantity >= 10").drop("frame_index")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
+    return rounded(frames.reindex(rows, order, 30.0), "timestamp").select("episode_index", "frame_index", "index", "timestamp", "l_orderkey", "l_partkey")
+
+
+def sustained_runs(spark, sf_dir):
+    return frames.sustained_runs(supplier_frames(spark, sf_dir), F.col("l_quantity") > 20, 4)
+
+
+def hold_baseline(spark, sf_dir):
+    rows = frames.assign_chunks(supplier_frames(spark, sf_dir), 30, "l_quantity")
+    return rounded(rows.groupBy("episode_index", "chunk_id").agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("l_quantity") - F.col("reference"))).alias("hold_mae")), "hold_mae")
+
+
+def delta_sequential(spark, sf_dir):
+    rows = frames.delta_sequential(supplier_frames(spark, sf_dir), "l_quantity", F.lit(0.0))
+    return rounded(rows.groupBy("episode_index").agg(F.sum(F.abs("delta")).alias("travel"), F.max("delta").alias("largest")), "travel")
+
+
+def feature_stats(spark, sf_dir):
+    rows = read(spark, sf_dir, "lineitem").select(F.array("l_quantity", "l_discount", "l_tax", "l_extendedprice").alias("action"))
+    return rounded(metrics.feature_stats(rows, "action"), "min", "max", "mean", "std", "q01", "q10", "q50", "q90", "q99")
+
+
+def episode_metrics(spark, sf_dir):
+    e = F.col("embedding")
+    rows = read(spark, sf_dir, "embeddings").select(F.col("label").alias("episode_index"), F.col("vec_id").alias("frame_index"), F.slice(e, 1, 16).alias("predicted"), F.slice(e, 17, 16).alias("truth"))
+    return rounded(metrics.episode_metrics(rows), "mse", "mae", "rmse", "max_abs_error", "cosine")
+
+
+def split_episodes(spark, sf_dir):
+    return metrics.split_episodes(read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("episode_index")))
+
+
+QUERIES = {f.__name__: f for f in (topic_inventory, topic_coverage, worst_severity, fps_degradation, missing_expected, snap_fps, nearest_asof, reindex, sustained_runs, hold_baseline, delta_sequential, feature_stats, episode_metrics, split_episodes)}
+
+MESSAGES = """messages AS (
+  SELECT event_id, user_id AS episode_index, event_type AS topic, epoch_us(ts) AS us, epoch_us(ts) / 1e6 AS ts,
+    CASE WHEN event_type IN ('view', 'click') THEN 'stream' WHEN event_type IN ('purchase', 'signup') THEN 'action' ELSE 'unclassified' END AS role
+  FROM events
+)"""
+FRAMES = """frames AS (
+  SELECT *, l_suppkey AS episode_index,
+    row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS frame_index
+  FROM lineitem
+)"""
+COVERAGE = f"""{MESSAGES}, steps AS (
+  SELECT *, ts - lag(ts) OVER (PARTITION BY episode_index, topic ORDER BY ts) AS dt FROM messages
+), own AS (
+  SELECT episode_index, topic, role, count(*) AS message_count, min(ts) AS a, max(ts) AS b,
+    CASE WHEN role = 'stream' THEN greatest(86400.0, 5 * coalesce(quantile_cont(dt, 0.5), 0)) ELSE 259200.0 END AS lim
+  FROM steps GROUP BY episode_index, topic, role
+), gaps AS (
+  SELECT s.episode_index, s.topic, sum(dt) AS g, max(dt) AS l FROM steps s JOIN own o ON s.episode_index = o.episode_index AND s.topic = o.topic
+  WHERE dt > lim AND s.role <> 'unclassified' GROUP BY ALL
+), bounds AS (
+  SELECT episode_index, min(ts) AS s, max(ts) AS e FROM messages WHERE role <> 'unclassified' GROUP BY ALL
+), ends AS (
+  SELECT o.*, coalesce(g, 0) AS g, coalesce(l, 0) AS l, greatest(coalesce(e - s, 0), 1e-9) AS span,
+    CASE WHEN role = 'stream' AND a - s > lim THEN a - s ELSE 0 END AS lead_gap, CASE WHEN role = 'stream' AND e - b > lim THEN e - b ELSE 0 END AS trail_gap
+  FROM own o LEFT JOIN gaps x ON o.episode_index = x.episode_index AND o.topic = x.topic LEFT JOIN bounds y ON o.episode_index = y.episode_index
+), totals AS (
+  SELECT *, CASE WHEN role = 'stream' AND message_count < 2 THEN span ELSE g + lead_gap + trail_gap END AS total_gap,
+    CASE WHEN role = 'stream' AND message_count < 2 THEN span ELSE greatest(l, lead_gap, trail_gap) END AS longest_gap FROM ends
+), covered AS (
+  SELECT episode_index, topic, role, message_count, CASE WHEN role <> 'action' AND b > a THEN (message_count - 1) / (b - a) END AS avg_fps, total_gap, longest_gap,
+    greatest(0, 1 - total_gap / span) AS coverage, CASE WHEN total_gap > 0 AND role = 'stream' THEN 'critical' WHEN total_gap > 0 AND role = 'action' THEN 'warning' ELSE 'pass' END AS severity
+  FROM totals
+)"""
+Q = ", ".join(f"round(quantile_cont(x, {q}), 6) AS {n}" for n, q in (("q01", 0.01), ("q10", 0.1), ("q50", 0.5), ("q90", 0.9), ("q99", 0.99)))
+
+ORACLES = {
+    "topic_inventory": f"WITH {MESSAGES} SELECT episode_index, topic, count(*) AS message_count, round(max(ts) - min(ts), 3) AS duration FROM messages GROUP BY episode_index, topic",
+    "topic_coverage": f"WITH {COVERAGE} SELECT episode_index, topic, role, message_count, round(avg_fps * 86400, 6) AS avg_fps, round(total_gap, 3) AS total_gap, round(longest_gap, 3) AS longest_gap, round(coverage, 6) AS coverage, severity FROM covered",
+    "worst_severity": f"""WITH {COVERAGE}, r AS (SELECT episode_index, max(CASE severity WHEN 'critical' THEN 3 WHEN 'warning' THEN 2 ELSE 1 END) AS k FROM covered GROUP BY episode_index)
+SELECT episode_index, CASE k WHEN 3 THEN 'critical' WHEN 2 THEN 'warning' ELSE 'pass' END AS severity, k < 3 AS passed FROM r""",
+    "fps_degradation": f"""WITH {MESSAGES}, rates AS (
+  SELECT episode_index, topic, round((count(*) - 1) / (max(ts) - min(ts)) * 86400, 6) AS avg_fps FROM messages GROUP BY episode_index, topic HAVING max(ts) > min(ts)
+), others AS (
+  SELECT a.episode_index, a.topic, a.avg_fps, quantile_cont(b.avg_fps, 0.5) AS m FROM rates a LEFT JOIN rates b ON a.topic = b.topic AND a.episode_index <> b.episode_index GROUP BY ALL
+) SELECT episode_index, topic, avg_fps, round(m, 6) AS others_fps, coalesce(avg_fps < 0.85 * m, false) AS degraded FROM others""",
+    "missing_expected": f"""WITH {MESSAGES}, present AS (SELECT DISTINCT episode_index, topic, role FROM messages), n AS (SELECT count(DISTINCT episode_index) AS episodes FROM present),
+usual AS (SELECT topic, role, count(*) AS present_in, any_value(episodes) AS episodes FROM present, n GROUP BY topic, role HAVING count(*) >= any_value(episodes) // 2 + 1 AND any_value(episodes) > 1)
+SELECT e.episode_index, u.topic, u.role, u.present_in, u.episodes FROM (SELECT DISTINCT episode_index FROM present) e, usual u
+WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.episode_index = e.episode_index AND p.topic = u.topic AND p.role = u.role)""",
+    "snap_fps": "SELECT CASE " + " ".join(f"WHEN abs(l_quantity - {r}) / {r} <= 0.15 THEN {r}" for r in (15, 20, 24, 25, 30, 50, 60)) + " ELSE greatest(5, 5 * round_even(l_quantity / 5, 0)::INTEGER) END::INTEGER AS fps, count(*) AS n FROM lineitem GROUP BY 1",
+    "nearest_asof": f"""WITH {MESSAGES}, r AS (SELECT episode_index, us, min(event_id) AS id FROM messages WHERE topic = 'view' GROUP BY ALL), pairs AS (
+  SELECT l.event_id, r.id, abs(l.us - r.us) AS dt, row_number() OVER (PARTITION BY l.event_id ORDER BY abs(l.us - r.us), r.us) AS k
+  FROM messages l LEFT JOIN r ON l.episode_index = r.episode_index WHERE l.topic = 'click'
+) SELECT event_id, id AS nearest_id, dt FROM pairs WHERE k = 1""",
+    "reindex": """WITH k AS (SELECT *, l_suppkey AS episode_index FROM lineitem WHERE l_quantity >= 10), o AS (
+  SELECT *, row_number() OVER (PARTITION BY episode_index ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS frame_index,
+    row_number() OVER (ORDER BY episode_index, l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS index FROM k
+) SELECT episode_index, frame_index, index, round(frame_index / 30.0::DOUBLE, 6) AS timestamp, l_orderkey, l_partkey FROM o""",
+    "sustained_runs": f"""WITH {FRAMES}, i AS (SELECT *, frame_index - row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) AS island FROM frames WHERE l_quantity > 20)
+SELECT episode_index, min(frame_index) AS start_frame, count(*) AS run_length FROM i GROUP BY episode_index, island HAVING count(*) >= 4""",
+    "hold_baseline": f"""WITH {FRAMES}, c AS (SELECT *, frame_index // 30 AS chunk_id, first_value(l_quantity) OVER (PARTITION BY episode_index, frame_index // 30 ORDER BY frame_index) AS r FROM frames)
+SELECT episode_index, chunk_id, count(*) AS n, round(avg(abs(l_quantity - r)), 6) AS hold_mae FROM c GROUP BY episode_index, chunk_id""",
+    "delta_sequential": f"""WITH {FRAMES}, d AS (SELECT episode_index, l_quantity - coalesce(lag(l_quantity) OVER (PARTITION BY episode_index ORDER BY frame_index), 0) AS delta FROM frames)
+SELECT episode_index, round(sum(abs(delta)), 6) AS travel, max(delta) AS largest FROM d GROUP BY episode_index""",
+    "feature_stats": f"""WITH x AS (SELECT 0 AS dim, l_quantity AS x FROM lineitem UNION ALL SELECT 1, l_discount FROM lineitem UNION ALL SELECT 2, l_tax FROM lineitem UNION ALL SELECT 3, l_extendedprice FROM lineitem)
+SELECT dim, round(min(x), 6) AS min, round(max(x), 6) AS max, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, count(x) AS count, {Q} FROM x GROUP BY dim""",
+    "episode_metrics": """WITH j AS (SELECT label AS episode_index, vec_id, generate_subscripts(embedding[1:16], 1) - 1 AS joint, unnest(embedding[1:16])::DOUBLE AS p, unnest(embedding[17:32])::DOUBLE AS t FROM embeddings),
+f AS (SELECT episode_index, vec_id, sum(p * t) AS d, sqrt(sum(p * p)) * sqrt(sum(t * t)) AS n FROM j GROUP BY ALL),
+c AS (SELECT episode_index, count(*) AS frames, avg(CASE WHEN n > 1e-8 THEN d / n ELSE 0 END) AS cosine FROM f GROUP BY ALL),
+w AS (SELECT episode_index, avg((p - t) ** 2) AS mse, avg(abs(p - t)) AS mae, max(abs(p - t)) AS m, arg_max(joint, (abs(p - t), -joint)) AS k FROM j GROUP BY ALL)
+SELECT c.episode_index, frames, round(cosine, 6) AS cosine, round(mse, 6) AS mse, round(mae, 6) AS mae, round(sqrt(mse), 6) AS rmse, round(m, 6) AS max_abs_error, k::INTEGER AS max_error_joint FROM c JOIN w ON c.episode_index = w.episode_index""",
+    "split_episodes": """WITH r AS (SELECT s_suppkey AS episode_index, row_number() OVER (ORDER BY md5('42:' || s_suppkey::VARCHAR), s_suppkey) AS k, count(*) OVER () AS n FROM supplier), c AS (SELECT *, round_even(n / 10.0, 0) AS v FROM r)
+SELECT episode_index, CASE WHEN k <= n - 2 * v THEN 'train' WHEN k <= n - v THEN 'val' ELSE 'test' END AS split FROM c""",
+}
