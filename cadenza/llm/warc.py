@@ -7,10 +7,14 @@ successors reaches. A magic string inside a payload isn't reached, and is joined
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import shared_path, stash
+from cadenza.llm.common import shared_path, small_batches, stash
 
 MAGIC = "WARC/1.1\r\n"
 BREAK = "\r\n\r\n"
@@ -37,7 +41,7 @@ def records(pages: DataFrame, *, min_bytes: int = 0, date: str = "2024-01-01T00:
     rows = rows.withColumn("digest", base32_sha1(F.col("html").cast("binary"))).withColumn("bytes", F.octet_length("html").cast("long"))
     first = rows.groupBy("digest", "bytes").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     first = first.filter(f"n > 1 AND bytes >= {int(min_bytes)}").select("digest", "first")
-    rows = rows.join(first, "digest", "left")
+    rows = rows.join(first.hint("merge"), "digest", "left")
     later = F.col("first").isNotNull() & F.coalesce(F.col("page_id") > F.col("first"), F.lit(True))
     url = F.regexp_replace(F.col("url"), r"[\r\n]+", "%0A")
     head = F.concat(
@@ -59,20 +63,26 @@ def write(pages: DataFrame, path: str, *, compression: str | None = "gzip", **op
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(file, at, body): the bytes behind each magic string and its offset in the file. Rows of a split keep their
-    order; the bytes that splits and rows have before them give the offsets."""
-    size = len(MAGIC)
-    raw = spark.read.option("lineSep", MAGIC).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("body"), F.monotonically_increasing_id().alias("n")
-    )
-    raw = stash(raw, "pieces")
-    lengths = raw.select("file", "split", "n", (F.octet_length("body").cast("long") + size).alias("length"))
-    splits = lengths.groupBy("file", "split").agg(F.sum("length").alias("length"))
-    splits = splits.withColumn("start", F.coalesce(F.sum("length").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = F.coalesce(F.sum("length").over(Window.partitionBy("file", "split").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = lengths.withColumn("within", within).join(splits.select("file", "split", "start"), ["file", "split"])
-    offsets = stash(offsets.select("file", "split", "n", (F.col("start") + F.col("within") - size).alias("at")), "offsets")
-    return raw.join(offsets, ["file", "split", "n"]).filter("at >= 0").select("file", "at", "body")
+    """(file, split, within, body): the bytes behind each magic string, and where they begin in the bytes of their split.
+    Nothing is shuffled: a split's rows come in order, so their lengths are added up as they pass."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:  # files are split alike however often they are read
+        spark.conf.set("spark.sql.files.minPartitionNum", spark.sparkContext.defaultParallelism)
+    small_batches(spark)
+    raw = spark.read.option("lineSep", MAGIC).text(path)
+    raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("body"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, at = None, 0
+        for batch in batches:
+            within = []
+            for file, split, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), pc.binary_length(batch.column(2)).to_pylist(), strict=True):
+                if now != (file, split):
+                    now, at = (file, split), 0
+                within.append(at)
+                at += n + len(MAGIC)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(within, pa.int64()), batch.column(2)], names=["file", "split", "within", "body"])
+
+    return raw.mapInArrow(run, "file string, split long, within long, body binary")
 
 
 def header(body: Column) -> Column:
@@ -100,37 +110,46 @@ def reachable(steps: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("a chain of records is too long")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def parsed(df: DataFrame, derive: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """df with what its column body says as a record; the derived columns are null if the payload goes beyond the body."""
+    head = header(F.col("body"))
+    df = df.withColumn("head", head).withColumn("head_bytes", F.octet_length("head").cast("long") + len(BREAK)).withColumn("length", named(F.col("head"), "Content-Length").try_cast("long"))
+    whole = F.col("head_bytes") + F.col("length") <= F.octet_length("body")
+    payload = F.when(whole, F.substring(F.col("body"), (F.col("head_bytes") + 1).cast("int"), F.col("length").cast("int")))
+    names = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "payload_digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To"}
+    df = df.withColumns({c: named(F.col("head"), n) for c, n in names.items()} | {"whole": whole, "span": F.octet_length("body").cast("long")})
+    df = df.withColumn("payload_digest", F.regexp_replace("payload_digest", "^sha1:", ""))
+    return df.withColumns({c: f(payload) for c, f in derive.items()}).drop("head", "body")
+
+
+def read(spark: SparkSession, path: str, derive: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """(file, offset, record_type, record_id, target_uri, payload_digest, refers_to, payload binary) per record.
 
-    A chain ends where a record is cut short or its length is wrong; records before that are kept. Files that don't
-    begin with a record give none.
+    derive: columns made of the payload instead of it, so that payloads stay where they are read. A chain ends where a
+    record is cut short or its length is wrong; records before that are kept. Files that don't begin with a record give
+    none. Only payloads with a magic string inside are read again and joined.
     """
-    own = pieces(spark, path)
-    head = header(F.col("body"))
-    own = own.withColumn("head_bytes", F.octet_length(head).cast("long") + len(BREAK)).withColumn("length", named(head, "Content-Length").cast("long"))
-    own = stash(own.withColumn("span", F.octet_length("body").cast("long")), "candidates")
-    light = own.select("file", "at", "span", (F.col("at") + len(MAGIC) + F.col("head_bytes") + F.col("length") + len(BREAK)).alias("next"))
+    derive = derive or {"payload": lambda p: p}
+    out = ["record_type", "record_id", "target_uri", "payload_digest", "refers_to", *derive]
+    found = stash(parsed(pieces(spark, path), derive), "candidates")
+    splits = found.groupBy("file", "split").agg(F.sum(F.col("span") + len(MAGIC)).alias("bytes"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = stash(splits.select("file", "split", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("start")), "splits")
+    at = F.col("start") + F.col("within") - len(MAGIC)
+    light = found.select("file", "split", "within", "head_bytes", "length", "whole").join(splits, ["file", "split"]).withColumn("at", at).filter("at >= 0")
+    light = stash(light.withColumn("next", F.col("at") + len(MAGIC) + F.col("head_bytes") + F.col("length") + len(BREAK)), "offsets")
     kept = reachable(light.filter("next IS NOT NULL")).withColumn("real", F.lit(True))
     order = Window.partitionBy("file").orderBy("at")
-    owner = F.last(F.when(F.col("real"), F.col("at")), ignorenulls=True).over(order)
-    owned = light.select("file", "at").join(kept, ["file", "at"], "left").withColumn("owner", owner).filter("owner IS NOT NULL")
-    owned = stash(owned.select("file", "at", "owner"), "owners")
-    many = owned.filter("at <> owner").select("file", "owner").distinct().withColumn("split_up", F.lit(True))
-    rows = own.select("file", "at", "body").join(owned.join(many, ["file", "owner"], "left"), ["file", "at"])
-    single = rows.filter("split_up IS NULL").select("file", "owner", "body")
-    parts = rows.filter("split_up").groupBy("file", "owner").agg(F.array_sort(F.collect_list(F.struct("at", "body"))).alias("parts"))  # the pieces of one record
+    places = light.join(kept, ["file", "at"], "left")
+    places = places.withColumn("owner", F.last(F.when(F.col("real"), F.struct("at", "whole")), ignorenulls=True).over(order))
+    places = stash(places.filter("owner IS NOT NULL AND (real OR NOT owner.whole)").select("file", "split", "within", "at", "real", "owner"), "places")
+    key = ["file", "split", "within"]
+    single = found.join(places.filter("real AND owner.whole").select(*key, F.col("at").alias("offset")), key).select("file", "offset", *out)
+    needed = stash(places.filter("NOT owner.whole").select(*key, "at", F.col("owner.at").alias("offset")), "needed")
+    parts = pieces(spark, path).join(needed, key).groupBy("file", "offset").agg(F.array_sort(F.collect_list(F.struct("at", "body"))).alias("parts"))  # the pieces of one record
     joined = F.aggregate(F.slice("parts", 2, F.size("parts")), F.col("parts")[0]["body"], lambda a, p: F.concat(a, F.lit(MAGIC).cast("binary"), p["body"]))
-    rows = single.union(parts.select("file", "owner", joined))
-    head = header(F.col("body"))
-    start = F.octet_length(head) + len(BREAK)
-    length = named(head, "Content-Length").cast("int")
-    rows = rows.select(
-        "file", F.col("owner").alias("offset"), named(head, "WARC-Type").alias("record_type"), named(head, "WARC-Record-ID").alias("record_id"), named(head, "WARC-Target-URI").alias("target_uri"),
-        F.regexp_replace(named(head, "WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"), named(head, "WARC-Refers-To").alias("refers_to"),
-        length.alias("length"), F.substring(F.col("body"), start + 1, length).alias("payload"),
-    )
-    return rows.filter("octet_length(payload) = length").drop("length")
+    many = parsed(parts.select("file", "offset", joined.alias("body")), derive).filter("whole").select("file", "offset", *out)
+    return single.union(many)
 
 
 def page_number(record: Column) -> Column:
@@ -144,8 +163,9 @@ def round_trip(pages: DataFrame, **options) -> DataFrame:
     spark = pages.sparkSession
     path = shared_path(spark, "warc")
     write(pages, path, **options)
-    found = stash(read(spark, path).select(
-        page_number(F.col("record_id")).alias("page_id"), F.octet_length("payload").cast("long").alias("bytes"), "payload_digest", base32_sha1(F.col("payload")).alias("own_digest"), "record_type", page_number(F.col("refers_to")).alias("refers_to")
+    derive = {"bytes": lambda p: F.octet_length(p).cast("long"), "own_digest": base32_sha1}
+    found = stash(read(spark, path, derive).select(
+        page_number(F.col("record_id")).alias("page_id"), "bytes", "payload_digest", "own_digest", "record_type", page_number(F.col("refers_to")).alias("refers_to")
     ), "records")
     full = found.filter("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("bytes").alias("full_bytes"), F.col("own_digest").alias("full_digest")).dropDuplicates(["refers_to", "full_digest"])
     full = full.withColumnRenamed("full_digest", "payload_digest")
