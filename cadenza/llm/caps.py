@@ -19,7 +19,7 @@ from cadenza.llm.vectors import matrix, packed, unpacked, usable
 
 THRESHOLD = 0.95
 #: Tables, code words of a half, and the least inner product of a vector and a filter's direction. Of random pairs with
-#: a cosine of exactly 0.95 in 64 dimensions these miss about 2 in 1000, and fewer of the closer ones.
+#: a cosine of exactly 0.95 in 64 dimensions these missed 5 of 8,000 in a simulation; closer pairs share more filters.
 TABLES, WORDS, CAP, SEED = 16, 96, 0.42, 42
 #: Vectors of a filter that are compared in one piece with those of another.
 BLOCK = 512
