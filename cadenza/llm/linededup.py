@@ -210,7 +210,8 @@ def dedup_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, id_col: str = "d
     key = {c: fresh(docs, f"cut_{c}") for c in ("id", "text_hash", "lines")}
     cut = deletions(docs, min_words=min_words, id_col=id_col, text_col=text_col)
     cut = stash(cut, "deletions").select(*(F.col(c).alias(k) for c, k in key.items()))
-    joined = docs.join(cut, (F.col(id_col).cast("long") == F.col(key["id"])) & (F.xxhash64(text_col) == F.col(key["text_hash"])), "left")
+    # merged at every size: a broadcast of the deletions would end once they outgrow it
+    joined = docs.join(cut.hint("merge"), (F.col(id_col).cast("long") == F.col(key["id"])) & (F.xxhash64(text_col) == F.col(key["text_hash"])), "left")
     text = without_lines(F.col(text_col), F.col(key["lines"]))
     out = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     return joined.select(*out, *([F.col(key["lines"]).alias(report)] if report else []))
