@@ -98,14 +98,8 @@ def uniform(doc_id: Column, seed: int) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
-def sampled(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, temperature: float = TEMPERATURE, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_hash, log_weight, rank, kept) for every row of docs.
-
-    k is the number of documents whose weight passes the fitted cut; kept are the k with the largest weight /
-    temperature + Gumbel noise of the id. Without good and bad labels k is all. Null text counts as empty, with weight
-    0; rows of one id and text share their draw; ties in rank go to the smaller id. Documents labelled more than once
-    are good if the lowest quality given is 1; labels with a null in either column don't count.
-    """
+def draw(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, temperature: float = TEMPERATURE, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text"):
+    """(rows with id, text_hash, log_weight, key and rank; k; the column of a row's key in any table with id and text)."""
     spark = docs.sparkSession
     small_batches(spark)
     marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -117,15 +111,36 @@ def sampled(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, tem
     fit = own.filter("good IS NOT NULL").dropDuplicates(["id"]).select("log_weight", "good").toPandas()  # at most `labelled` rows
     cut = fitted_cut(fit["log_weight"].to_numpy(float), fit["good"].to_numpy(bool))
     k = own.filter(F.col("log_weight") >= F.lit(float(cut))).count()
-    noise = -F.log(-F.log(uniform(F.col("id"), seed)))
-    order = ranked(own.withColumn("key", F.col("log_weight") / temperature + noise), "rank", F.col("key").desc(), F.col("id").asc_nulls_last(), F.col("text_hash"))
+    key = lambda id_, log_weight: log_weight / temperature - F.log(-F.log(uniform(id_, seed)))
+    order = ranked(own.withColumn("key", key(F.col("id"), F.col("log_weight"))), "rank", F.col("key").desc(), F.col("id").asc_nulls_last(), F.col("text_hash"))
+    return order, k, lambda id_, text: key(id_, weight(text))
+
+
+def sampled(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """(id, text_hash, log_weight, rank, kept) for every row of docs.
+
+    k is the number of documents whose weight passes the fitted cut; kept are the k with the largest weight /
+    temperature + Gumbel noise of the id. Without good and bad labels k is all. Null text counts as empty, with weight
+    0; rows of one id and text share their draw; ties in rank go to the smaller id. Documents labelled more than once
+    are good if the lowest quality given is 1; labels with a null in either column don't count.
+    """
+    order, k, _ = draw(docs, labels, **options)
     return order.select("id", "text_hash", "log_weight", "rank", (F.col("rank") <= k).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs without those that the draw rejects. A row stays if any of its repeats does."""
-    key = {c: fresh(docs, f"good_{c}") for c in ("id", "text_hash")}
-    found = sampled(docs, labels, id_col=id_col, text_col=text_col, **options).filter("kept")
-    found = stash(found.select(*(F.col(c).alias(k) for c, k in key.items())), "kept")
-    on = F.col(id_col).cast("long").eqNullSafe(F.col(key["id"])) & (F.xxhash64(text_col) == F.col(key["text_hash"]))
-    return docs.join(found, on, "left_semi")
+    """docs without those that the draw rejects. A row stays if any of its repeats does.
+
+    The draw's last row alone decides: each row's key is computed again where the row is read and held against it, so
+    texts are neither joined nor moved.
+    """
+    order, k, key_of = draw(docs, labels, id_col=id_col, text_col=text_col, **options)
+    last = order.filter(F.col("rank") == k).select("key", "id", "text_hash").first()
+    if last is None:
+        return docs.filter(F.lit(False))
+    name = fresh(docs, "draw_key")
+    id_, text_hash, key = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col)), F.col(name)
+    before = id_.isNotNull() if last.id is None else F.coalesce(id_ < F.lit(last.id), F.lit(False))
+    tie = before | (id_.eqNullSafe(F.lit(last.id)) & (text_hash <= F.lit(last.text_hash)))
+    rows = docs.withColumn(name, key_of(id_, F.col(text_col)))
+    return rows.filter((key > F.lit(last.key)) | ((key == F.lit(last.key)) & tie)).drop(name)
