@@ -6,7 +6,7 @@ whole training corpus decide. So the network's size is fixed while what it knows
 
 Training: truncated backpropagation through WINDOW steps, the state carried from window to window. Tasks of about
 UNIT tokens each start from the same weights and their results are averaged by tokens, for ROUNDS rounds; each round
-takes another SHARE of the training documents, so the tokens learnt from grow with the corpus as well.
+takes another SHARE of the training documents, and all rounds together take every one of them once.
 """
 
 from __future__ import annotations
@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import small_batches, stash
 
 HEAD, MEMBERS, TAILS, UNITS = 1024, 32, 32, 48
-WINDOW, LANES, ROUNDS, SHARE, UNIT, RATE, SEED = 32, 64, 2, 1 / 8, 400_000, 0.06, 42
+WINDOW, LANES, ROUNDS, SHARE, UNIT, RATE, SEED = 32, 64, 8, 1 / 8, 400_000, 0.06, 42
+#: Pieces of the weights, which are averaged side by side.
+PIECES = 64
 #: Words whose counts every task knows; those of rarer ones are joined.
 KNOWN = 50_000
 #: Tokens gathered before they are scored, and lanes they are scored in.
@@ -222,8 +224,8 @@ def backward(p: dict, memory: list, d_states: np.ndarray, x: np.ndarray, grads:
         d = (d * (1 - z) + d_rh * r + da[t, :, : 2 * UNITS] @ p["u_zr"].T) * keep
     flat = da.reshape(-1, 3 * UNITS)
     ids, at = np.unique(x.reshape(-1), return_inverse=True)
-    rows = np.zeros((len(ids), 3 * UNITS), np.float32)
-    np.add.at(rows, at.reshape(-1), flat)
+    order = np.argsort(at.reshape(-1), kind="stable")
+    rows = np.add.reduceat(flat[order], np.searchsorted(at.reshape(-1)[order], np.arange(len(ids))))
     grads["wx"], grads["b"] = (ids, rows), flat.sum(0)
 
 
@@ -280,7 +282,9 @@ def train(docs: DataFrame, lex: Lexicon, *, rounds: int = ROUNDS, share: float =
     parts = max(1, round(1 / share))
     for i in range(rounds):
         now = spark.sparkContext.broadcast(p)
-        some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(parts)) == i % parts).select("text").repartition(tasks, F.xxhash64("doc_id", "text"))
+        some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(parts)) == i % parts)
+        # as many tasks as there are units, whatever the session's partitions: each starts anew and sends whole weights
+        some = some.repartitionById(tasks, F.pmod(F.xxhash64("doc_id", "text"), F.lit(tasks)).cast("int")).select("text")
 
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             trainer, held, n = Trainer(now.value), [], 0
@@ -294,13 +298,24 @@ def train(docs: DataFrame, lex: Lexicon, *, rounds: int = ROUNDS, share: float =
             if held:
                 trainer.learn(held)
             if trainer.tokens:
-                flat = np.concatenate([trainer.p[k].reshape(-1) for k in PARAMS]).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array([float(trainer.tokens)]), pa.array([flat], pa.list_(pa.float64()))], names=["n", "p"])
+                flat = np.concatenate([trainer.p[k].reshape(-1) for k in PARAMS]).astype(np.float32)
+                pieces = [x.tobytes() for x in np.array_split(flat, PIECES)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array([float(trainer.tokens)] * PIECES), pa.array(pieces, pa.binary())], names=["i", "n", "x"])
 
-        rows = some.mapInArrow(run, "n double, p array<double>").select("n", F.posexplode("p").alias("i", "x"))
-        means = rows.groupBy("i").agg((F.sum(F.col("n") * F.col("x")) / F.sum("n")).alias("x")).toPandas()
-        if len(means):
-            flat = means.sort_values("i")["x"].to_numpy().astype(np.float32)
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            tokens: Counter = Counter()
+            for batch in batches:
+                for piece, n, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    sums[piece] = sums.get(piece, 0) + n * np.frombuffer(x, np.float32).astype(np.float64)
+                    tokens[piece] += n
+            if sums:
+                means = [(v / tokens[k]).astype(np.float32).tobytes() for k, v in sums.items()]
+                yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(means, pa.binary())], names=["i", "x"])
+
+        means = some.mapInArrow(run, "i int, n double, x binary").repartition("i").mapInArrow(add, "i int, x binary").collect()
+        if means:
+            flat = np.frombuffer(b"".join(bytes(r.x) for r in sorted(means, key=lambda r: r.i)), np.float32)
             cuts = np.cumsum([int(np.prod(s)) for _, s in shapes])[:-1]
             p = {k: v.reshape(s) for (k, s), v in zip(shapes, np.split(flat, cuts), strict=True)}
         now.unpersist()

@@ -37,6 +37,18 @@ def test_held_out_texts_are_likelier_than_under_the_base(spark):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_every_training_document_is_learnt_from(spark):
+    """Parts 0 and 1 of 8 alone know nothing of the texts that the other parts and the held-out documents have."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(8)
+    some = spark.range(600).select("id", lm.held_out(F.col("id")).alias("out"), F.pmod(F.xxhash64("id", F.lit(lm.SEED)), F.lit(8)).alias("part")).collect()
+    word = lambda i, r: f"{'ab'[not r.out and r.part < 2]}{i}"
+    rows = [(r.id, " ".join(word((at + j) % 40, r) for at in [int(rng.integers(40))] for j in range(60)), 0, 0) for r in some]
+    got = lm.scored(spark.createDataFrame(rows, SCHEMA)).filter("held_out").collect()
+    assert len(got) > 50 and sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
 def test_gradients(monkeypatch):
     monkeypatch.setattr(lm, "BOS", 1024 + 32)
     counts = np.zeros(1024)
