@@ -1,16 +1,15 @@
-"""Line dedup: overlapping documents are found through shared rare line hashes, aligned by patience diff, and the
-aligned common blocks of at least `min_words` words are deleted from the later document.
+"""Line dedup: overlapping documents are found through shared hashes of runs of lines, and the common blocks of at
+least `min_words` words are deleted from the later document.
 
-A single line is seldom rare, so what is looked up are runs of lines: from each line on, and from each line back, as
+Run hashes decide, not an alignment: one alignment leaves blocks that come in another order or more often, and those
+that overlap. A single line is seldom rare, so what is looked up are runs of lines: from each line on, and from each line back, as
 many lines as reach min_words. Every common block of min_words words is covered by such runs, and each run leads to
-the earliest document that has it. A document is thus aligned with the first holders of its runs, never with all the
+the earliest document that has it. A document is thus compared with the first holders of its runs, never with all the
 others of a group of copies. "Earlier" is the smaller id; the first holder keeps its lines.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,96 +49,10 @@ def runs(hashes: list[int], words: list[int], min_words: int) -> dict[int, list[
     return out
 
 
-def increasing(values: list[int]) -> list[int]:
-    """Positions of a longest increasing subsequence."""
-    tops: list[int] = []
-    at: list[int] = []
-    before = [-1] * len(values)
-    for i, v in enumerate(values):
-        k = bisect_left(tops, v)
-        before[i] = at[k - 1] if k else -1
-        if k == len(tops):
-            tops.append(v)
-            at.append(i)
-        else:
-            tops[k], at[k] = v, i
-    out, i = [], at[-1] if at else -1
-    while i >= 0:
-        out.append(i)
-        i = before[i]
-    return out[::-1]
-
-
-def patience(a: list, b: list) -> list[tuple[int, int]]:
-    """Matched positions, ascending in both: common ends, then the lines unique in both as anchors, and so on between
-    them. Where no line is unique, the k-th occurrence in one goes with the k-th in the other."""
-    matched, todo = [], [(0, len(a), 0, len(b))]
-    while todo:
-        alo, ahi, blo, bhi = todo.pop()
-        while alo < ahi and blo < bhi and a[alo] == b[blo]:
-            matched.append((alo, blo))
-            alo, blo = alo + 1, blo + 1
-        while alo < ahi and blo < bhi and a[ahi - 1] == b[bhi - 1]:
-            ahi, bhi = ahi - 1, bhi - 1
-            matched.append((ahi, bhi))
-        if alo == ahi or blo == bhi:
-            continue
-        in_a, in_b = Counter(a[alo:ahi]), Counter(b[blo:bhi])
-        of_a = {x: i for i, x in enumerate(a[alo:ahi], alo) if in_a[x] == 1}
-        pairs = [(of_a[x], j) for j, x in enumerate(b[blo:bhi], blo) if in_b[x] == 1 and x in of_a]
-        if not pairs:
-            seen_a: Counter = Counter()
-            nth = {}
-            for i, x in enumerate(a[alo:ahi], alo):
-                nth[x, seen_a[x]] = i
-                seen_a[x] += 1
-            seen_b: Counter = Counter()
-            for j, x in enumerate(b[blo:bhi], blo):
-                if (x, seen_b[x]) in nth:
-                    pairs.append((nth[x, seen_b[x]], j))
-                seen_b[x] += 1
-            matched += [pairs[k] for k in increasing([i for i, _ in pairs])]
-            continue
-        anchors = [pairs[k] for k in increasing([i for i, _ in pairs])]
-        for (a0, b0), (a1, b1) in zip([(alo - 1, blo - 1), *anchors], [*anchors, (ahi, bhi)], strict=True):
-            todo.append((a0 + 1, a1, b0 + 1, b1))
-        matched += anchors
-    return sorted(matched)
-
-
-def blocks(matched: list[tuple[int, int]], words: list[int], min_words: int) -> list[tuple[int, int]]:
-    """Runs of matches that are contiguous in both texts and have min_words words, as ranges of lines of b."""
-    out, start = [], 0
-    for k in range(1, len(matched) + 1):
-        if k == len(matched) or matched[k] != (matched[k - 1][0] + 1, matched[k - 1][1] + 1):
-            lo, hi = matched[start][1], matched[k - 1][1] + 1
-            if sum(words[lo:hi]) >= min_words:
-                out.append((lo, hi))
-            start = k
-    return out
-
-
 def repeated(a: tuple[list[int], list[int]], b: tuple[list[int], list[int]], min_words: int = MIN_WORDS) -> list[int]:
-    """Lines of b in the blocks that it shares with a. What one alignment leaves because blocks come in another order
-    is aligned again without the lines that are gone; a last look makes sure that no common run is left."""
+    """Lines of b in the runs of min_words words that it shares with a, wherever and however often b has them."""
     in_a, in_b = runs(*a, min_words), runs(*b, min_words)
-    common = in_a.keys() & in_b.keys()
-    if not common:
-        return []
-    rest = {i for h in common for lo, hi in in_b[h] for i in range(lo, hi)}  # only these can go
-    mine = {i for h in common for lo, hi in in_a[h] for i in range(lo, hi)}
-    left = [h if i in mine else ("a", i) for i, h in enumerate(a[0])]
-    gone: set[int] = set()
-    while rest:
-        right = [h if i in rest else ("b", i) for i, h in enumerate(b[0])]
-        found = blocks(patience(left, right), b[1], min_words)
-        new = {i for lo, hi in found for i in range(lo, hi)}
-        if not new:
-            break
-        gone |= new
-        rest -= new
-    gone |= {i for h in common for lo, hi in in_b[h] for i in range(lo, hi)}
-    return sorted(gone)
+    return sorted({i for h in in_a.keys() & in_b.keys() for lo, hi in in_b[h] for i in range(lo, hi)})
 
 
 def profiles(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
