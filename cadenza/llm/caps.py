@@ -18,23 +18,58 @@ from cadenza.llm.common import min_components, stash
 from cadenza.llm.vectors import matrix, packed, unpacked, usable
 
 THRESHOLD = 0.95
-#: Tables, code words of a half, and the least inner product of a vector and a filter's direction. Of random pairs with
-#: a cosine of exactly 0.95 in 64 dimensions these missed 5 of 8,000 in a simulation; closer pairs share more filters.
-TABLES, WORDS, CAP, SEED = 16, 96, 0.42, 42
+#: Tables, code words of a half, and the least inner product of a vector and a filter's direction, in units of its
+#: deviation 1 / sqrt(dimensions). Of random pairs with a cosine of exactly 0.95 in 64 dimensions these missed 5 of
+#: 8,000 in a simulation; closer pairs share more filters.
+TABLES, WORDS, CAP, SEED = 16, 96, 3.36, 42
+#: The share of pairs just at the threshold that filters must find, and the pairs that it is simulated with.
+RECALL, PAIRS = 0.999, 4000
 #: Vectors of a filter that are compared in one piece with those of another.
 BLOCK = 512
 
 
 class Filters:
-    def __init__(self, dimensions: int, tables: int = TABLES, words: int = WORDS, cap: float = CAP, seed: int = SEED) -> None:
+    """Without a cap: CAP deviations, or less where RECALL asks for it. A given cap that doesn't meet RECALL is an error."""
+
+    def __init__(self, dimensions: int, tables: int = TABLES, words: int = WORDS, cap: float | None = None, seed: int = SEED, threshold: float = THRESHOLD) -> None:
         rng = np.random.default_rng(seed)
-        self.cap, self.words, self.half = cap, words, dimensions // 2
+        self.words, self.half = words, dimensions // 2
         self.turns = [np.linalg.qr(rng.normal(size=(dimensions, dimensions)))[0] for _ in range(tables)]
         self.codes = []
         for _ in range(tables):
             halves = [rng.normal(size=(words, d)) for d in (self.half, dimensions - self.half) if d]
             self.codes.append([h / np.linalg.norm(h, axis=1, keepdims=True) / np.sqrt(len(halves)) for h in halves])
 
+        shared = np.sort(self.shared_caps(*self.pairs(dimensions, threshold, seed + 1)))
+        most = float(shared[int((1 - RECALL) * len(shared))])
+        if cap is not None and cap > most:
+            raise ValueError(f"cap {cap} finds less than {RECALL} of the pairs at {threshold} in {dimensions} dimensions; {most:.4f} does")
+        self.cap = min(CAP / np.sqrt(dimensions), most) if cap is None else cap
+
+    @staticmethod
+    def pairs(dimensions: int, cosine: float, seed: int, n: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
+        """n random pairs of unit vectors with the given cosine."""
+        x, y = np.random.default_rng(seed).normal(size=(2, n, dimensions))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        y -= (x * y).sum(1, keepdims=True) * x
+        y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-300)
+        y = cosine * x + np.sqrt(1 - cosine * cosine) * y
+        return x, y / np.linalg.norm(y, axis=1, keepdims=True)
+
+    def shared_caps(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The greatest cap at which each pair shares a filter."""
+        out = np.full(len(x), -2.0)
+        for turn, codes in zip(self.turns, self.codes, strict=True):
+            sides = []
+            for v in (x @ turn, y @ turn):
+                head = v[:, : self.half] @ codes[0].T if len(codes) == 2 else np.zeros((len(x), 1))
+                sides.append((head.astype(np.float32), (v[:, self.half :] @ codes[-1].T).astype(np.float32)))
+            for lo in range(0, len(x), 100):
+                (hx, tx), (hy, ty) = [(h[lo : lo + 100, :, None], t[lo : lo + 100, None, :]) for h, t in sides]
+                least = np.minimum(hx + tx, hy + ty)
+                out[lo : lo + 100] = np.maximum(out[lo : lo + 100], least.max((1, 2)))
+        return out
+
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) of all filters that the unit vectors x exceed."""
         rows, found = [], []
@@ -70,14 +105,14 @@ def first_shared(lists: list[np.ndarray], pairs: np.ndarray, current: int) -> np
     return ok
 
 
-def links(nodes: DataFrame, *, threshold: float = THRESHOLD, tables: int = TABLES, words: int = WORDS, cap: float = CAP) -> DataFrame:
+def links(nodes: DataFrame, *, threshold: float = THRESHOLD, tables: int = TABLES, words: int = WORDS, cap: float | None = None) -> DataFrame:
     """(a, b), a < b: pairs of distinct vectors (node, v) found with a cosine of at least the threshold.
 
     A filter's members are dealt to blocks of about BLOCK, and each two blocks are compared by themselves, so a filter
     that a third of all vectors exceed is spread over many tasks.
     """
     first = nodes.select(F.size("v").alias("d")).first()
-    shared = nodes.sparkSession.sparkContext.broadcast(Filters(first["d"] if first else 2, tables, words, cap))
+    shared = nodes.sparkSession.sparkContext.broadcast(Filters(first["d"] if first else 2, tables, words, cap, threshold=threshold))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

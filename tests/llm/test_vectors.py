@@ -76,3 +76,17 @@ def test_blocks_report_each_pair_once(spark, monkeypatch):
     df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "node long, v array<double>")
     got = caps.links(df).collect()
     assert len(got) == len(set(got)) == 90 * 89 // 2
+
+
+@pytest.mark.parametrize("d", [16, 64, 128, 256])
+def test_caps_recall_at_other_dimensions(d):
+    filters = caps.Filters(d)
+    lists = [filters.decode(v) for v in caps.Filters.pairs(d, caps.THRESHOLD, 9, 500)]
+    own = [[set(found[row == i].tolist()) for i in range(500)] for row, found in lists]
+    assert sum(bool(a & b) for a, b in zip(*own, strict=True)) >= 497
+    assert d < 64 or sum(map(len, own[0])) < 100 * 500
+
+
+def test_cap_that_misses_is_an_error():
+    with pytest.raises(ValueError):
+        caps.Filters(256, cap=0.42)
