@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import small_batches
+from cadenza.llm.common import bounded
 
 TOKENIZER_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 LEARNT = ("assistant",)
@@ -89,12 +89,11 @@ def format_turns(turns: DataFrame, tokenizer_json: str, *, learnt: tuple[str, ..
     ids; rows with a null conversation form one of their own, and a null turn comes first. mask is 1 on the tokens of
     the learnt roles' texts."""
     spark = turns.sparkSession
-    small_batches(spark)
     shared = spark.sparkContext.broadcast(tokenizer_json)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template = Template(shared.value, learnt)
-        for batch in batches:
+        for batch in bounded(batches):
             conv, turn, role, text = (batch.column(i) for i in range(4))
             found = template.encode(list(zip([r or "" for r in role.to_pylist()], [t or "" for t in text.to_pylist()], strict=True)))
             ids = pa.array([i for i, _ in found], pa.list_(pa.int32()))
@@ -116,7 +115,7 @@ def digests(formatted: DataFrame, tokenizer_json: str) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template = Template(shared.value)
-        for batch in batches:
+        for batch in bounded(batches):
             ids, masks = batch.column(2), batch.column(3)
             rows = [template.read(i.values.to_numpy(), m.values.to_numpy()) for i, m in zip(ids, masks, strict=True)]
             cols = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), [pa.string()] * 3 + [pa.int64()], strict=True)] if rows else [pa.array([], k) for k in [pa.string()] * 3 + [pa.int64()]]
@@ -134,7 +133,7 @@ def digests(formatted: DataFrame, tokenizer_json: str) -> DataFrame:
             done.clear()
             return out
 
-        for batch in batches:
+        for batch in bounded(batches):
             for conv, role, text, learnt, chars in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5)), strict=True):
                 if now is None or now[0] != conv:
                     if now is not None:

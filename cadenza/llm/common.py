@@ -2,52 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.shared import fresh, ranked, shared_dir, shared_path, stash
+
+__all__ = ["WORD", "bounded", "fresh", "min_components", "ranked", "shared_dir", "shared_path", "stash", "table", "word_count"]
+
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows and bytes of one Arrow batch, so that a Python worker holds little even with long texts.
+#: Rows and bytes that a Python worker works on at once, however large the batches are that Spark sends.
 BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="cadenza-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stash(df: DataFrame, name: str = "stash", partition_by: str | None = None) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage is cut, and Spark knows the table's true size."""
-    path = shared_path(df.sparkSession, name)
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound what one Arrow batch brings into a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-
-
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name that df doesn't have."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
+def bounded(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most `rows` rows and, unless a single row is larger, about `most` bytes."""
+    for batch in batches:
+        step = max(1, min(rows, int(batch.num_rows * most / max(1, batch.nbytes))))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
 
 
 def word_count(text: Column) -> Column:
@@ -59,19 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ranked(df: DataFrame, name: str, *order: Column) -> DataFrame:
-    """df with its 1-based rank in the given total order: range partitions are sorted side by side, and each gets
-    the number of rows before it. Only one count per partition meets in a single task."""
-    pid, at = fresh(df, "pid"), fresh(df, "at")
-    shared_dir(df.sparkSession)
-    sorted_ = df.orderBy(*order).checkpoint().withColumn(at, F.monotonically_increasing_id())
-    sorted_ = sorted_.withColumn(pid, F.shiftright(at, 33)).withColumn(at, F.col(at).bitwiseAND((1 << 33) - 1))
-    sizes = sorted_.groupBy(pid).agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col(f"b.{pid}") < F.col(f"a.{pid}"), "left")
-    before = before.groupBy(F.col(f"a.{pid}").alias(pid)).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("rows_before"))
-    return sorted_.join(F.broadcast(before), pid).withColumn(name, F.col("rows_before") + F.col(at) + 1).drop(pid, at, "rows_before")
-
-
 def min_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a long, b long): (node, component), component the smallest node reachable.
 

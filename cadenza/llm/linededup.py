@@ -1,16 +1,17 @@
-"""Line dedup: overlapping documents are found through shared hashes of runs of lines, and the common blocks of at
-least `min_words` words are deleted from the later document.
-
-Run hashes decide, not an alignment: one alignment leaves blocks that come in another order or more often, and those
-that overlap. A single line is seldom rare, so what is looked up are runs of lines: from each line on, and from each line back, as
-many lines as reach min_words. Every common block of min_words words is covered by such runs, and each run leads to
-the earliest document that has it. A document is thus compared with the first holders of its runs, never with all the
-others of a group of copies. "Earlier" is the smaller id; the first holder keeps its lines.
+"""Line dedup: overlapping documents are found through shared rare line hashes and aligned by patience diff; the aligned
+common blocks of at least `min_words` words are deleted from the later document.
+
+What is looked up: a line of min_words words by its own hash, a shorter one, which by itself is seldom rare, by the hash
+of the run of lines from it on, and of that back from it, that just reaches min_words. Each such hash leads to the
+earliest document that has it, however many others do, so a document is aligned with the first holders of its runs and
+never with all the others of a group of copies, and no common block is overlooked. "Earlier" is the smaller id; the first
+holder keeps its lines.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,9 +20,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import fresh, small_batches, stash
+from cadenza.llm.common import bounded, fresh, stash
 
 MIN_WORDS = 20
+#: Occurrences of a line on either side that are looked at where all common lines repeat.
+NEAR = 8
 
 
 def lines_of(text: str | None) -> tuple[list[int], list[int]]:
@@ -49,20 +52,117 @@ def runs(hashes: list[int], words: list[int], min_words: int) -> dict[int, list[
     return out
 
 
+def increasing(values: list[int]) -> list[int]:
+    """Places of a longest increasing subsequence."""
+    ends: list[int] = []
+    tops: list[int] = []
+    before = [-1] * len(values)
+    for i, v in enumerate(values):
+        k = bisect_left(tops, v)
+        before[i] = ends[k - 1] if k else -1
+        ends[k : k + 1], tops[k : k + 1] = [i], [v]
+    out, at = [], ends[-1] if ends else -1
+    while at >= 0:
+        out.append(at)
+        at = before[at]
+    return out[::-1]
+
+
+def alike(a: list[int], b: list[int], i: int, j: int) -> int:
+    """How many lines around a[i] and b[j] are equal without a gap."""
+    up = next((k for k in range(min(i, j)) if a[i - 1 - k] != b[j - 1 - k]), min(i, j))
+    most = min(len(a) - i, len(b) - j)
+    return up + next((k for k in range(most) if a[i + k] != b[j + k]), most)
+
+
+def patience(a: list[int], b: list[int], likeness: Callable[[int, int], int]) -> list[tuple[int, int]]:
+    """Aligned places (in a, in b) of two sequences of line hashes: common lines at both ends, then lines that occur once
+    on either side, of these a longest chain in the same order, and the same again between its links. Where all common
+    lines repeat, the least frequent one takes the place of the chain, at the two places of the greatest likeness."""
+    found, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        i, m, j, n = todo.pop()
+        while i < m and j < n and a[i] == b[j]:
+            found.append((i, j))
+            i, j = i + 1, j + 1
+        while i < m and j < n and a[m - 1] == b[n - 1]:
+            m, n = m - 1, n - 1
+            found.append((m, n))
+        if i == m or j == n:
+            continue
+        at_a: dict[int, list[int]] = {}
+        at_b: dict[int, list[int]] = {}
+        for side, places, lo, hi in ((a, at_a, i, m), (b, at_b, j, n)):
+            for k in range(lo, hi):
+                places.setdefault(side[k], []).append(k)
+        common = at_a.keys() & at_b.keys()
+        once = sorted((at_a[h][0], at_b[h][0]) for h in common if len(at_a[h]) == len(at_b[h]) == 1)
+        if once:
+            once = [once[k] for k in increasing([y for _, y in once])]
+        elif common:
+            h = min(common, key=lambda h: (len(at_a[h]) * len(at_b[h]), at_b[h][0]))
+            once = [max(((p, q) for p in at_a[h][:NEAR] for q in at_b[h][:NEAR]), key=lambda pq: likeness(*pq))]
+        links = [(i, j), *once, (m, n)]
+        todo += [(p, q, r, s) for (p, r), (q, s) in zip(links, links[1:], strict=False) if once]
+    return sorted(found)
+
+
 def repeated(a: tuple[list[int], list[int]], b: tuple[list[int], list[int]], min_words: int = MIN_WORDS) -> list[int]:
-    """Lines of b in the runs of min_words words that it shares with a, wherever and however often b has them."""
+    """Lines of b in the blocks of min_words words that are aligned with a.
+
+    One alignment leaves blocks that come in another order or more often than in a, so what is left of b between the
+    deleted blocks is aligned with all of a again, until nothing more is found. Lines outside the common runs of
+    min_words words can't be in such a block and don't take part.
+    """
+    (x, _), (y, words) = a, b
     in_a, in_b = runs(*a, min_words), runs(*b, min_words)
-    return sorted({i for h in in_a.keys() & in_b.keys() for lo, hi in in_b[h] for i in range(lo, hi)})
+    shared = in_a.keys() & in_b.keys()
+    of_a, rest = ({i for h in shared for lo, hi in side[h] for i in range(lo, hi)} for side in (in_a, in_b))
+    total = np.concatenate([[0], np.cumsum(words)])
+    places: dict[int, list[int]] = {}
+    for i in sorted(of_a):
+        places.setdefault(x[i], []).append(i)
+    gone: set[int] = set()
+    pieces = [sorted(rest)]
+    while pieces:
+        left = []
+        for piece in pieces:
+            own = sorted(i for h in {y[j] for j in piece} for i in places.get(h, ()))
+            new: set[int] = set()
+            end = (-1, -1)
+            for i, j in ((own[i], piece[j]) for i, j in patience([x[i] for i in own], [y[j] for j in piece], lambda i, j: alike(x, y, own[i], piece[j]))):  # noqa: B023
+                if i < end[0] and j < end[1] and i - j == end[0] - end[1]:
+                    continue  # inside the block before
+                lo_i, lo_j, hi_i, hi_j = i, j, i + 1, j + 1
+                while lo_i and lo_j and x[lo_i - 1] == y[lo_j - 1]:
+                    lo_i, lo_j = lo_i - 1, lo_j - 1
+                while hi_i < len(x) and hi_j < len(y) and x[hi_i] == y[hi_j]:
+                    hi_i, hi_j = hi_i + 1, hi_j + 1
+                end = (hi_i, hi_j)
+                while not words[lo_j] and lo_j < j:
+                    lo_j += 1
+                while not words[hi_j - 1] and hi_j > j + 1:
+                    hi_j -= 1
+                if total[hi_j] - total[lo_j] >= min_words:
+                    new |= set(range(lo_j, hi_j))
+            if new - gone:
+                gone |= new
+                left.append(piece)
+        pieces = []
+        for piece in left:
+            kept = [j for j in piece if j not in gone]
+            cuts = [k for k in range(1, len(kept)) if kept[k] != kept[k - 1] + 1]
+            pieces += [kept[p:q] for p, q in zip([0, *cuts], [*cuts, len(kept)], strict=True) if p < q]
+    return sorted(gone)
 
 
 def profiles(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
     """(id, text_hash, hashes, words, runs) of every document with an id that has min_words words; repeats once."""
-    small_batches(docs.sparkSession)
     schema = "id long, text_hash long, hashes array<long>, words array<int>, runs array<long>"
     arrow = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("hashes", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("runs", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches):
             rows = []
             for i, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 hashes, words = lines_of(text.as_py())
@@ -87,7 +187,7 @@ def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS, id_col: str = "doc
     both = pairs.join(a, ["id_a", "hash_a"]).join(own.select("id", "text_hash", "hashes", "words"), ["id", "text_hash"])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches):
             ids, hashes, lines = [], [], []
             for i, t, *sides in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = repeated((sides[0], sides[1]), (sides[2], sides[3]), min_words)

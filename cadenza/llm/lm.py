@@ -4,9 +4,10 @@ The HEAD most frequent tokens have input rows of their own and share classes of
 has learnt weights; every other token belongs to one of TAILS classes by its last letters, within which counts of the
 whole training corpus decide. So the network's size is fixed while what it knows of words grows with the corpus.
 
-Training: truncated backpropagation through WINDOW steps, the state carried from window to window. Tasks of about
-UNIT tokens each start from the same weights and their results are averaged by tokens, for ROUNDS rounds; each round
-takes another SHARE of the training documents, and all rounds together take every one of them once.
+Texts become ids once, two bytes a token in the shared folder; training and scoring read these. Training is truncated
+backpropagation through WINDOW steps, the state carried from window to window. Tasks of about UNIT tokens start from the
+same weights and their results are averaged by tokens, for `rounds` rounds; a training document belongs to exactly one
+round, so that together they learn from every document once.
 """
 
 from __future__ import annotations
@@ -19,31 +20,50 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import small_batches, stash
+from cadenza.llm.common import bounded, stash
 
-HEAD, MEMBERS, TAILS, UNITS = 1024, 32, 32, 48
-WINDOW, LANES, ROUNDS, SHARE, UNIT, RATE, SEED = 32, 64, 8, 1 / 8, 400_000, 0.06, 42
+HEAD, MEMBERS, TAILS, UNITS = 1024, 32, 32, 32
+WINDOW, LANES, ROUNDS, UNIT, RATE, SEED = 32, 128, 4, 500_000, 0.06, 42
+#: Updates that a task makes at least of the tokens it holds, where there are few: it takes fewer lanes then.
+UPDATES = 16
 #: Pieces of the weights, which are averaged side by side.
-PIECES = 64
-#: Words whose counts every task knows; those of rarer ones are joined.
+PIECES = 16
+#: Words whose counts every task knows, at most; those of rarer ones are joined.
 KNOWN = 50_000
 #: Tokens gathered before they are scored, and lanes they are scored in.
-GATHER, SCORE_LANES = 400_000, 192
+GATHER, SCORE_LANES = 1_000_000, 256
 BOS, CLASSES = HEAD + TAILS, HEAD // MEMBERS + TAILS
-END = b""  # no word is empty
-PARAMS = ("wx", "b", "u_zr", "u_c", "wc", "bc", "wi", "bi")
+END = ""  # no word is empty
+PARAMS = ("wx", "u", "wc", "bc", "wi", "bi")
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return [*(text or "").encode("utf-8", "replace").lower().split(), END]
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(token, document, words): for each token of the texts its place in words and the text's number. Words are
+    lower-cased in A-Z and split at ASCII white space; each text's last token is the end, the last of words."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string())))
+    coded = parts.flatten().dictionary_encode()
+    at, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.string())
+    doc = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+    there = pc.not_equal(words, "").to_numpy(zero_copy_only=False)[at] if len(words) else np.zeros(0, bool)
+    at, doc = at[there], doc[there]
+    token = np.full(len(at) + len(texts), len(words), np.int64)
+    token[np.arange(len(at)) + doc] = at
+    ends = np.bincount(doc, minlength=len(texts)) + 1
+    return token, np.repeat(np.arange(len(texts)), ends), pa.concat_arrays([words, pa.array([END], pa.string())])
 
 
-def tail(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % TAILS
+def tail(word: str) -> int:
+    return zlib.crc32(word.encode()[-2:]) % TAILS
+
+
+def tail_column(word: Column) -> Column:
+    octets, n = word.cast("binary"), F.octet_length(word)
+    return (F.crc32(F.substring(octets, F.greatest(n - 1, F.lit(1)), F.lit(2))) % TAILS).cast("int")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -51,60 +71,54 @@ def held_out(doc_id: Column) -> Column:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word binary, c) over all rows of docs (text); tasks add up before the shuffle, so frequent words move little."""
-    small_batches(docs.sparkSession)
+    """(word, c) over all rows of docs (text); tasks add up before the shuffle, so frequent words move little."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
-            seen.clear()
-            return out
-
-        for batch in batches:
-            for text in batch.column(0):
-                seen.update(words_of(text.as_py()))
-                if len(seen) > 200_000:
-                    yield flush()
-        yield flush()
+        for batch in bounded(batches, 1 << 14, 32 << 20):
+            token, _, words = words_of(batch.column(0))
+            n = np.bincount(token, minlength=len(words))
+            yield pa.RecordBatch.from_arrays([words, pa.array(n)], names=["word", "n"]).filter(pa.array(n > 0))
 
-    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 @dataclass
 class Lexicon:
     """What every task knows of the vocabulary: a bounded number of words, and one sum for each tail class."""
 
-    known: dict[bytes, tuple[int, int]]  # word -> (id, count)
+    words: list[str]
+    ids: np.ndarray
+    counts: np.ndarray
     tail_size: np.ndarray  # per tail class: sum of counts + 0.5 for each of its words and for the unseen one
     head_counts: np.ndarray
     total: int
     distinct: int
 
-    def base(self, c) -> float | np.ndarray:
-        return np.log10((c + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
+    @property
+    def whole(self) -> float:
+        """log10 of what the base divides by."""
+        return float(np.log10(self.total + 0.5 * (self.distinct + 1)))
 
 
 def lexicon(counts: DataFrame) -> Lexicon:
-    """From the table (word, c): KNOWN rows and sums reach the driver, whatever the size of the vocabulary."""
+    """From the table (word, c). At most KNOWN words and a sum a class reach the driver, whatever the vocabulary's size:
+    words are taken from the most frequent sixteenth of an octave down, as long as whole ones fit."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(KNOWN).collect()
+    step = F.floor(F.log2("c") * 16).cast("int")
+    sizes = sorted(((r.s, r.n) for r in counts.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)  # under 1,024 rows
+    fits = np.cumsum([n for _, n in sizes]) <= KNOWN
+    least = sizes[int(fits.sum()) - 1][0] if fits.any() else 1 << 20
+    top = sorted(((-r.c, r.word) for r in counts.filter(step >= least).collect()))  # at most KNOWN rows
     head = top[:HEAD]
-    known = {bytes(r.word): (i if i < HEAD else HEAD + tail(bytes(r.word)), r.c) for i, r in enumerate(top)}
-    sizes = np.full(TAILS, 0.5)
+    tails = np.full(TAILS, 0.5)
     for of, n, v in counts.groupBy(tail_column(F.col("word")).alias("t")).agg(F.sum("c"), F.count(F.lit(1))).collect():
-        sizes[of] += n + 0.5 * v
-    for r in head:
-        sizes[tail(bytes(r.word))] -= r.c + 0.5
+        tails[of] += n + 0.5 * v
+    for c, w in head:
+        tails[tail(w)] -= 0.5 - c
     head_counts = np.zeros(HEAD)
-    head_counts[: len(head)] = [r.c for r in head]
-    return Lexicon(known, sizes, head_counts, total, distinct)
-
-
-def tail_column(word: Column) -> Column:
-    n = F.octet_length(word)
-    return (F.crc32(F.substring(word, F.greatest(n - 1, F.lit(1)), F.lit(2))) % TAILS).cast("int")
+    head_counts[: len(head)] = [-c for c, _ in head]
+    ids = np.array([i if i < HEAD else HEAD + tail(w) for i, (_, w) in enumerate(top)], np.int64)
+    return Lexicon([w for _, w in top], ids, np.array([-c for c, _ in top], np.int64), tails, head_counts, total, distinct)
 
 
 def start(lex: Lexicon, seed: int = SEED) -> dict[str, np.ndarray]:
@@ -117,8 +131,7 @@ def start(lex: Lexicon, seed: int = SEED) -> dict[str, np.ndarray]:
         bias = np.maximum(np.log(members), -30)  # places without a word stay next to impossible
         classes = np.maximum(np.log(np.maximum(sizes, 0)), -30)
     return {
-        "wx": small(BOS + 1, 3 * UNITS), "b": np.zeros(3 * UNITS, np.float32), "u_zr": small(UNITS, 2 * UNITS), "u_c": small(UNITS, UNITS),
-        "wc": small(UNITS, CLASSES), "bc": (classes - classes.max()).astype(np.float32),
+        "wx": small(3, BOS + 1, UNITS), "u": small(3, UNITS, UNITS), "wc": small(UNITS, CLASSES), "bc": (classes - classes.max()).astype(np.float32),
         "wi": small(HEAD // MEMBERS, UNITS, MEMBERS), "bi": (bias - bias.max(1, keepdims=True)).astype(np.float32),
     }
 
@@ -135,127 +148,152 @@ def lanes_of(docs: list[np.ndarray], most: int) -> list[list[int]]:
 
 
 def windows(docs: list[np.ndarray], most: int, steps: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(inputs, targets, document) of `steps` steps and the lanes that still go on; -1 behind a lane's end."""
+    """(inputs, targets, document) of `steps` steps and the lanes that still go on; target -1 behind a lane's end."""
     lanes = lanes_of(docs, most)
-    targets = [np.concatenate([docs[i] for i in lane]) for lane in lanes]
-    owner = [np.repeat(lane, [len(docs[i]) for i in lane]) for lane in lanes]
-    inputs = []
-    for lane, t in zip(lanes, targets, strict=True):
-        x = np.concatenate([[BOS], t[:-1]])
-        x[np.cumsum([0, *(len(docs[i]) for i in lane[:-1])])] = BOS
-        inputs.append(x)
-    for at in range(0, len(targets[0]) if targets else 0, steps):
-        n = sum(len(t) > at for t in targets)
-        out = np.full((3, min(steps, len(targets[0]) - at), n), -1, np.int64)
+    rows = []
+    for lane in lanes:
+        t = np.concatenate([docs[i] for i in lane]).astype(np.int32)
+        sizes = [len(docs[i]) for i in lane]
+        x = np.concatenate([[BOS], t[:-1]]).astype(np.int32)
+        x[np.cumsum([0, *sizes[:-1]])] = BOS
+        rows.append((x, t, np.repeat(np.array(lane, np.int32), sizes)))
+    for at in range(0, len(rows[0][0]) if rows else 0, steps):
+        n = sum(len(t) > at for _, t, _ in rows)
+        x, y, owner = (np.full((min(steps, len(rows[0][0]) - at), n), fill, np.int32) for fill in (BOS, -1, 0))
         for k in range(n):
-            for c, rows in enumerate((inputs[k], targets[k], owner[k])):
-                part = rows[at : at + steps]
-                out[c, : len(part), k] = part
-        yield out[0], out[1], out[2]
-
-
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
+            end = len(rows[k][0]) - at
+            x[:end, k], y[:end, k], owner[:end, k] = (r[at : at + steps] for r in rows[k])
+        yield x, y, owner
 
-def softmax(x: np.ndarray) -> np.ndarray:
-    e = np.exp(x - x.max(1, keepdims=True))
-    return e / e.sum(1, keepdims=True)
 
+def forward(p: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
+    """States of all steps, the last one, and what the way back needs. A document's first step starts from zero.
 
-def forward(p: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
-    """States of all steps, the last one, and what the way back needs. A document's first step starts from zero."""
-    a = p["wx"][x] + p["b"]
-    keep = (x != BOS)[:, :, None].astype(np.float32)
-    states, memory = np.empty((*x.shape, UNITS), np.float32), []
+    Gates are half of 1 + tanh. A token's rows of wx stand in for biases, too."""
+    gates = [w.take(x, axis=0) for w in p["wx"]]
+    (z, r, c), (uz, ur, uc) = gates, p["u"]
+    states, before, reset = np.empty_like(z), np.empty_like(z), np.empty_like(z)
+    new = x == BOS
+    some = np.empty_like(h)
     for t in range(len(x)):
-        h = h * keep[t]
-        zr = sigmoid(a[t, :, : 2 * UNITS] + h @ p["u_zr"])
-        z, r = zr[:, :UNITS], zr[:, UNITS:]
-        c = np.tanh(a[t, :, 2 * UNITS :] + (r * h) @ p["u_c"])
-        memory.append((h, z, r, c, keep[t]))
-        h = h + z * (c - h)
-        states[t] = h
-    return states, h, memory
+        h0 = before[t]
+        h0[:] = h
+        if new[t].any():
+            h0[new[t]] = 0
+        for gate, u in ((z[t], uz), (r[t], ur)):
+            np.matmul(h0, u, out=some)
+            gate += some
+            np.tanh(gate, out=gate)
+            gate *= 0.5
+            gate += 0.5
+        np.multiply(r[t], h0, out=reset[t])
+        np.matmul(reset[t], uc, out=some)
+        c[t] += some
+        np.tanh(c[t], out=c[t])
+        h = states[t]
+        np.subtract(c[t], h0, out=h)
+        h *= z[t]
+        h += h0
+    return states, h, (z, r, c, before, reset, new)
+
+
+def backward(p: dict, memory: tuple, d_states: np.ndarray, x: np.ndarray, grads: dict) -> None:
+    z, r, c, before, reset, new = memory
+    back = [u.T.copy() for u in p["u"]]
+    to_c, to_z, to_r, stay = z * (1 - c * c), 2 * (c - before) * z * (1 - z), 2 * before * r * (1 - r), 1 - z
+    dz, dr, dc = np.empty_like(z), np.empty_like(z), np.empty_like(z)
+    d = np.zeros(z.shape[1:], z.dtype)
+    for t in range(len(x) - 1, -1, -1):
+        d += d_states[t]
+        np.multiply(d, to_c[t], out=dc[t])
+        np.multiply(d, to_z[t], out=dz[t])
+        d_reset = dc[t] @ back[2]
+        np.multiply(d_reset, to_r[t], out=dr[t])
+        d *= stay[t]
+        d_reset *= r[t]
+        d += d_reset
+        d += dz[t] @ back[0]
+        d += dr[t] @ back[1]
+        if new[t].any():
+            d[new[t]] = 0
+    flat = lambda a: a.reshape(-1, a.shape[-1])
+    grads["u"] = np.stack([flat(before).T @ flat(dz), flat(before).T @ flat(dr), flat(reset).T @ flat(dc)])
+    at = x.reshape(-1)
+    order = np.argsort(at.astype(np.uint16), kind="stable")
+    ids, first = np.unique(at[order], return_index=True)
+    grads["wx"] = (ids, np.stack([np.add.reduceat(flat(g).take(order, axis=0), first) for g in (dz, dr, dc)]))
 
 
 def log_probs(p: dict, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """log P(class) and, for head tokens, + log P(token | class) of each row; with grads also the states' gradient."""
     classes = np.where(targets < HEAD, targets // MEMBERS, targets - HEAD + HEAD // MEMBERS)
-    row = np.arange(len(targets))
-    q = softmax(states @ p["wc"] + p["bc"])
-    out = np.log(np.maximum(q[row, classes], 1e-30))
+
+    def softmax(weights: np.ndarray, bias: np.ndarray, s: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities (outcomes x rows) and the log of each row's own outcome."""
+        q = weights.T @ s.T
+        q += bias[:, None]
+        q -= q.max(0)
+        rows = np.arange(len(own))
+        out = q[own, rows]
+        np.exp(q, out=q)
+        total = q.sum(0)
+        if grads is not None:
+            q /= total
+            q[own, rows] -= 1
+        return q, out - np.log(total)
+
+    q, out = softmax(p["wc"], p["bc"], states, classes)
     back = None
     if grads is not None:
-        q[row, classes] -= 1
-        grads["wc"], grads["bc"] = states.T @ q, q.sum(0)
+        grads["wc"], grads["bc"] = (q @ states).T, q.sum(1)
         grads["wi"], grads["bi"] = np.zeros_like(p["wi"]), np.zeros_like(p["bi"])
-        back = q @ p["wc"].T
-    order = np.argsort(classes, kind="stable")
+        back = q.T @ p["wc"].T
+    order = np.argsort(classes.astype(np.uint8), kind="stable")
     ends = np.searchsorted(classes[order], np.arange(HEAD // MEMBERS + 1))
-    for k in range(HEAD // MEMBERS):
-        rows = order[ends[k] : ends[k + 1]]
-        if len(rows):
-            s, place = states[rows], targets[rows] % MEMBERS
-            q = softmax(s @ p["wi"][k] + p["bi"][k])
-            own = np.arange(len(rows))
-            out[rows] += np.log(np.maximum(q[own, place], 1e-30))
-            if grads is not None:
-                q[own, place] -= 1
-                grads["wi"][k], grads["bi"][k] = s.T @ q, q.sum(0)
-                back[rows] += q @ p["wi"][k].T
+    sorted_states, places = states.take(order, axis=0), targets[order] % MEMBERS
+    for k in np.flatnonzero(ends[1:] > ends[:-1]):
+        part = slice(ends[k], ends[k + 1])
+        q, found = softmax(p["wi"][k], p["bi"][k], sorted_states[part], places[part])
+        out[order[part]] += found
+        if grads is not None:
+            grads["wi"][k], grads["bi"][k] = (q @ sorted_states[part]).T, q.sum(1)
+            back[order[part]] += q.T @ p["wi"][k].T
     return out, back
 
 
-def backward(p: dict, memory: list, d_states: np.ndarray, x: np.ndarray, grads: dict) -> None:
-    d = np.zeros(d_states.shape[1:], np.float32)
-    da = np.empty((*x.shape, 3 * UNITS), np.float32)
-    grads["u_zr"], grads["u_c"] = np.zeros_like(p["u_zr"]), np.zeros_like(p["u_c"])
-    for t in range(len(x) - 1, -1, -1):
-        h, z, r, c, keep = memory[t]
-        d = d + d_states[t]
-        dc = d * z * (1 - c * c)
-        dz = d * (c - h) * z * (1 - z)
-        d_rh = dc @ p["u_c"].T
-        dr = d_rh * h * r * (1 - r)
-        da[t, :, :UNITS], da[t, :, UNITS : 2 * UNITS], da[t, :, 2 * UNITS :] = dz, dr, dc
-        grads["u_c"] += (r * h).T @ dc
-        grads["u_zr"] += h.T @ da[t, :, : 2 * UNITS]
-        d = (d * (1 - z) + d_rh * r + da[t, :, : 2 * UNITS] @ p["u_zr"].T) * keep
-    flat = da.reshape(-1, 3 * UNITS)
-    ids, at = np.unique(x.reshape(-1), return_inverse=True)
-    order = np.argsort(at.reshape(-1), kind="stable")
-    rows = np.add.reduceat(flat[order], np.searchsorted(at.reshape(-1)[order], np.arange(len(ids))))
-    grads["wx"], grads["b"] = (ids, rows), flat.sum(0)
-
-
 class Trainer:
-    """Adagrad over windows."""
+    """Adagrad over windows. Its state is the weights, and for each the sum of squared gradients."""
 
-    def __init__(self, p: dict, rate: float = RATE) -> None:
-        self.p, self.rate = {k: v.copy() for k, v in p.items()}, rate
-        self.squares = {k: np.full_like(v, 1e-4) for k, v in p.items()}
-        self.tokens = 0
+    def __init__(self, state: dict, rate: float = RATE) -> None:
+        self.p, self.squares = ({k: v.copy() for k, v in part.items()} for part in (state["p"], state["squares"]))
+        self.rate, self.tokens = rate, 0
 
     def step(self, grads: dict, n: int) -> None:
         for k, g in grads.items():
-            at, g = (g[0], g[1]) if k == "wx" else (slice(None), g)
-            g = np.clip(g / n, -1, 1)
-            self.squares[k][at] += g * g
-            self.p[k][at] -= self.rate * g / np.sqrt(self.squares[k][at])
+            at, g = ((slice(None), g[0]), g[1]) if k == "wx" else (slice(None), g)
+            g = np.clip(g / np.float32(n), -1, 1)
+            squares = self.squares[k][at] + g * g
+            self.squares[k][at] = squares
+            self.p[k][at] -= self.rate * g / np.sqrt(squares)
 
     def learn(self, docs: list[np.ndarray]) -> None:
+        lanes = max(1, min(LANES, sum(map(len, docs)) // (WINDOW * UPDATES)))
         h = np.zeros((0, UNITS), np.float32)
-        for x, y, _ in windows(docs, LANES, WINDOW):
+        for x, y, _ in windows(docs, lanes, WINDOW):
             h = h[: x.shape[1]] if len(h) else np.zeros((x.shape[1], UNITS), np.float32)
             there = y >= 0
-            states, h, memory = forward(self.p, np.where(there, x, BOS), h)
+            states, h, memory = forward(self.p, x, h)
             grads: dict = {}
-            flat = np.zeros((*y.shape, UNITS), np.float32)
-            _, flat[there] = log_probs(self.p, states[there], y[there], grads)
-            backward(self.p, memory, flat, np.where(there, x, BOS), grads)
-            self.step(grads, int(there.sum()))
-            self.tokens += int(there.sum())
+            n = int(there.sum())
+            if n == y.size:
+                _, flat = log_probs(self.p, states.reshape(n, -1), y.reshape(-1), grads)
+                flat = flat.reshape(states.shape)
+            else:
+                flat = np.zeros_like(states)
+                _, flat[there] = log_probs(self.p, states[there], y[there], grads)
+            backward(self.p, memory, flat, x, grads)
+            self.step(grads, n)
+            self.tokens += n
 
 
 def score(p: dict, docs: list[np.ndarray]) -> np.ndarray:
@@ -265,41 +303,53 @@ def score(p: dict, docs: list[np.ndarray]) -> np.ndarray:
     for x, y, owner in windows(docs, SCORE_LANES, WINDOW):
         h = h[: x.shape[1]] if len(h) else np.zeros((x.shape[1], UNITS), np.float32)
         there = y >= 0
-        states, h, _ = forward(p, np.where(there, x, BOS), h)
+        states, h, _ = forward(p, x, h)
         found, _ = log_probs(p, states[there], y[there])
         out += np.bincount(owner[there], found, minlength=len(docs))
     return out
 
 
-def train(docs: DataFrame, lex: Lexicon, *, rounds: int = ROUNDS, share: float = SHARE, seed: int = SEED) -> dict[str, np.ndarray]:
-    """Weights after all rounds, from docs (doc_id, text). One set of weights reaches the driver each round: the average
-    over the tasks, which Spark takes."""
-    spark = docs.sparkSession
+def id_lists(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(b.as_py(), np.uint16) for b in column]
+
+
+def packed_state(state: dict) -> list[bytes]:
+    flat = np.concatenate([state[part][k].reshape(-1) for part in ("p", "squares") for k in PARAMS]).astype(np.float32)
+    return [x.tobytes() for x in np.array_split(flat, PIECES)]
+
+
+def unpacked_state(pieces: list[bytes], like: dict) -> dict:
+    flat = np.frombuffer(b"".join(pieces), np.float32)
+    shapes = [like[part][k].shape for part in ("p", "squares") for k in PARAMS]
+    found = [v.reshape(s) for s, v in zip(shapes, np.split(flat, np.cumsum([int(np.prod(s)) for s in shapes])[:-1]), strict=True)]
+    return {"p": dict(zip(PARAMS, found, strict=False)), "squares": dict(zip(PARAMS, found[len(PARAMS) :], strict=True))}
+
+
+def train(coded: DataFrame, lex: Lexicon, *, rounds: int = ROUNDS, seed: int = SEED) -> dict[str, np.ndarray]:
+    """Weights after all rounds, from coded (part, held_out, ids): round i learns from the training texts whose part is i
+    modulo `rounds`. One set of weights reaches the driver each round: the average over the tasks, which Spark takes."""
+    spark = coded.sparkSession
     p = start(lex, seed)
-    shapes = [(k, p[k].shape) for k in PARAMS]
-    known = spark.sparkContext.broadcast(lex)
-    tasks = max(1, round(lex.total * share / UNIT))
-    parts = max(1, round(1 / share))
+    state = {"p": p, "squares": {k: np.full_like(v, 1e-4) for k, v in p.items()}}
+    tasks = max(1, round(lex.total / rounds / UNIT))
     for i in range(rounds):
-        now = spark.sparkContext.broadcast(p)
-        some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(parts)) == i % parts)
-        # as many tasks as there are units, whatever the session's partitions: each starts anew and sends whole weights
-        some = some.repartitionById(tasks, F.pmod(F.xxhash64("doc_id", "text"), F.lit(tasks)).cast("int")).select("text")
+        now = spark.sparkContext.broadcast(state)
+        # files are read together until there are as many tasks as units: each starts anew and sends whole weights
+        some = coded.filter((F.pmod("part", F.lit(rounds)) == i) & ~F.col("held_out")).select("ids").coalesce(tasks)
 
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             trainer, held, n = Trainer(now.value), [], 0
             for batch in batches:
-                for text in batch.column(0):
-                    held.append(ids_of(words_of(text.as_py()), known.value)[0])
-                    n += len(held[-1])
-                    if n > GATHER // 4:
+                for ids in id_lists(batch.column(0)):
+                    held.append(ids)
+                    n += len(ids)
+                    if n > UNIT:
                         trainer.learn(held)
                         held, n = [], 0
             if held:
                 trainer.learn(held)
             if trainer.tokens:
-                flat = np.concatenate([trainer.p[k].reshape(-1) for k in PARAMS]).astype(np.float32)
-                pieces = [x.tobytes() for x in np.array_split(flat, PIECES)]
+                pieces = packed_state({"p": trainer.p, "squares": trainer.squares})
                 yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array([float(trainer.tokens)] * PIECES), pa.array(pieces, pa.binary())], names=["i", "n", "x"])
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,88 +365,95 @@ def train(docs: DataFrame, lex: Lexicon, *, rounds: int = ROUNDS, share: float =
 
         means = some.mapInArrow(run, "i int, n double, x binary").repartition("i").mapInArrow(add, "i int, x binary").collect()
         if means:
-            flat = np.frombuffer(b"".join(bytes(r.x) for r in sorted(means, key=lambda r: r.i)), np.float32)
-            cuts = np.cumsum([int(np.prod(s)) for _, s in shapes])[:-1]
-            p = {k: v.reshape(s) for (k, s), v in zip(shapes, np.split(flat, cuts), strict=True)}
+            state = unpacked_state([bytes(r.x) for r in sorted(means, key=lambda r: r.i)], state)
         now.unpersist()
-    return p
+    return state["p"]
 
 
-def ids_of(words: list[bytes], lex: Lexicon) -> tuple[np.ndarray, np.ndarray, Counter]:
-    """(ids, counts with -1 for those to be looked up, the words to be looked up) of a text's tokens."""
-    ids, counts, rest, get = np.empty(len(words), np.int64), np.empty(len(words), np.int64), Counter(), lex.known.get
-    for i, w in enumerate(words):
-        found = get(w)
-        if found is None:
-            ids[i], counts[i] = HEAD + tail(w), -1
-            rest[w] += 1
-        else:
-            ids[i], counts[i] = found
-    return ids, counts, rest
+def coded_texts(rows: DataFrame, lex: Lexicon) -> DataFrame:
+    """rows (doc_id, text, held_out, part) with, instead of the text, ids (two bytes a token) and what doesn't depend on
+    the network: n_tokens, n_known, the base and the tail words' log10 shares of their classes, both without the words
+    that the lexicon lacks, which `rest` lists with their numbers."""
+    shared = rows.sparkSession.sparkContext.broadcast(lex)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    rest_type = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
 
-
-def scored(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = shared.value
+        vocabulary = pa.array(lex.words, pa.string())
+        key = TaskContext.get().partitionId() << 33
+        for batch in bounded(batches, 1 << 14, 16 << 20):
+            n = batch.num_rows
+            token, doc, words = words_of(batch.column(1))
+            at = pc.fill_null(pc.index_in(words, value_set=vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            known = at >= 0
+            count = np.where(known, lex.counts[at] if len(lex.counts) else 0, -1)
+            ids = np.where(known, lex.ids[at] if len(lex.ids) else 0, -1)
+            for i, w in zip(np.flatnonzero(~known), words.filter(pa.array(~known)).to_pylist(), strict=True):
+                ids[i] = HEAD + tail(w)
+            bits = np.where(known, np.log10(np.maximum(count, 0) + 0.5), 0.0)
+            is_tail = ids >= HEAD
+            share = np.where(is_tail, bits - np.log10(lex.tail_size)[np.where(is_tail, ids - HEAD, 0)], 0.0)
+            base = np.where(known, bits - lex.whole, 0.0)
+            sums = [np.bincount(doc, v[token], minlength=n) for v in ((count > 0).astype(float), base, share)]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n))])
+            lacking = ~known[token]
+            pairs, times = np.unique(doc[lacking] * len(words) + token[lacking], return_counts=True)
+            of, word = np.divmod(pairs, len(words))
+            rest = pa.StructArray.from_arrays([words.take(pa.array(word)), pa.array(times, pa.int64())], fields=list(rest_type.value_type))
+            rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(n + 1)), pa.int32()), rest)
+            flat = ids[token].astype(np.uint16)
+            packed = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((2 * ends).astype(np.int32)), pa.py_buffer(flat)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(key, key + n)), batch.column(0), batch.column(2), batch.column(3), pa.array(np.diff(ends), pa.int64()), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]), packed, rest],
+                names=["key", "doc_id", "held_out", "part", "n_tokens", "n_known", "base", "share", "ids", "rest"],
+            )
+            key += n
+
+    schema = f"key long, doc_id {kind}, held_out boolean, part int, n_tokens long, n_known long, base double, share double, ids binary, rest array<struct<word:string,n:bigint>>"
+    return rows.select("doc_id", "text", "held_out", "part").mapInArrow(run, schema)
+
+
+def scored(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED, **options) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of docs.
 
-    Texts are whole; null counts as empty and has the end token alone. A null id isn't held out. Without any training
-    text all counts are 0 and scores are those of the unseen word.
+    Texts are whole; null counts as empty and has the end token alone; repeated rows are learnt from and scored each. A
+    null id isn't held out. Without any training text all counts are 0 and scores are those of the unseen word. Other
+    columns of docs, whatever their names, aren't read.
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"))
-    training = rows.filter(~F.col("held_out"))
-    counts = stash(word_counts(training), "counts")
+    part = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 16)).cast("int")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"), part.alias("part"))
+    counts = stash(word_counts(rows.filter(~F.col("held_out"))), "counts")
     lex = lexicon(counts)
-    p = train(training, lex, **options)
-    shared = spark.sparkContext.broadcast((lex, p))
-    kind = next(f.dataType.simpleString() for f in rows.schema if f.name == "doc_id")
+    coded = stash(coded_texts(rows, lex), "coded")
+    shared = spark.sparkContext.broadcast(train(coded, lex, seed=seed, **options))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex, p = shared.value
-        names = ["key", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rest"]
-        key = TaskContext.get().partitionId() << 33
-        held: list[tuple] = []
-        n = 0
-        offset = np.log10(lex.tail_size)
+        held: list[pa.RecordBatch] = []
 
         def flush() -> pa.RecordBatch:
-            nonlocal key
-            found = score(p, [h[2] for h in held]) / np.log(10)
-            tokens, known, base, rest = [], [], [], []
-            for k, (_, _, ids, c, more) in enumerate(held):
-                there = c >= 0
-                tails = ids >= HEAD
-                tokens.append(len(ids))
-                known.append(int((c > 0).sum()))
-                base.append(float(lex.base(c[there]).sum()))
-                found[k] += np.log10(c[there & tails] + 0.5).sum() - offset[ids[tails] - HEAD].sum()
-                rest.append([{"word": w, "n": m} for w, m in more.items()])
-            cols = [pa.array(range(key, key + len(held)), pa.int64()), pa.array([h[0] for h in held], ids_type), pa.array([h[1] for h in held]), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(found, pa.float64()), pa.array(rest, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))]
-            key += len(held)
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            found = score(shared.value, id_lists(rows.column(rows.num_columns - 1))) / np.log(10)
             held.clear()
-            return pa.RecordBatch.from_arrays(cols, names=names)
-
-        ids_type = None
-        for batch in batches:
-            ids_type = batch.column(0).type
-            for doc, text, out in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                held.append((doc, out, *ids_of(words_of(text.as_py()), lex)))
-                n += len(held[-1][2])
-                if n > GATHER:
-                    yield flush()
-                    n = 0
-        if held:
+            return pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(found)], names=[*rows.schema.names[:-1], "model"])
+
+        for batch in bounded(batches):
+            held.append(batch)
+            if sum(b.column(b.num_columns - 1).nbytes for b in held) > 2 * GATHER:
+                yield flush()
+        if sum(b.num_rows for b in held):
             yield flush()
 
-    schema = f"key long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double, rest array<struct<word:binary,n:bigint>>"
-    own = stash(rows.select("doc_id", "text", "held_out").mapInArrow(run, schema), "scores")
-    rest = own.select("key", F.explode("rest").alias("r")).select("key", "r.word", "r.n").join(counts, "word", "left")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    keep = ["key", "doc_id", "held_out", "n_tokens", "n_known", "base", "share"]
+    own = coded.select(*keep, "ids").mapInArrow(run, f"key long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, share double, model double")
+    rest = coded.select("key", F.explode("rest").alias("r")).select("key", "r.word", "r.n").join(counts, "word", "left")
     c = F.coalesce("c", F.lit(0))
     bits = F.log10(c + 0.5)
-    whole = float(np.log10(lex.total + 0.5 * (lex.distinct + 1)))
-    rest = rest.groupBy("key").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(F.col("n") * (bits - whole)).alias("more_base"), F.sum(F.col("n") * bits).alias("more_model"))
+    rest = rest.groupBy("key").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(F.col("n") * (bits - lex.whole)).alias("more_base"), F.sum(F.col("n") * bits).alias("more_share"))
     zero = lambda name: F.coalesce(name, F.lit(0))
-    return own.drop("rest").join(rest, "key", "left").select(
+    return own.join(rest, "key", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + zero("known")).cast("long").alias("n_known"), F.lit(int(lex.total)).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("more_base")).alias("base_score"), (F.col("model") + zero("more_model")).alias("score"),
+        (F.col("base") + zero("more_base")).alias("base_score"), (F.col("model") + F.col("share") + zero("more_share")).alias("score"),
     )

@@ -2,8 +2,13 @@
 one of the raw texts, and a Gumbel top-k draw of the documents by that weight.
 
 Both models are bags of hashed n-grams (words, punctuation runs and pairs of them). The raw model counts every
-document. The target model counts the documents labelled good, and the share to keep is fitted on the labelled
-documents: at most LABELLED of them, taken in the order of a hash of their ids.
+document. The target model counts the documents labelled good: at most LABELLED of them, taken in the order of a hash
+of their ids. Neighbouring n-grams depend on each other, so a text counts as EVIDENCE independent ones at most: its log
+weight is the sum of the n log ratios times EVIDENCE / (n + EVIDENCE). Weights are thus of the size of the Gumbel noise near
+the draw's end, and a document is drawn with probability 1 - exp(-weight * t), t being such that k are drawn.
+
+How many are drawn is a parameter. Without it the labels say: as many as have a weight above the cut that tells good from
+bad labelled documents best. The cut has no part in who is drawn.
 """
 
 from __future__ import annotations
@@ -18,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import fresh, ranked, small_batches, stash
+from cadenza.llm.common import bounded, fresh, ranked, stash
 
 BUCKETS, LABELLED, SEED = 1 << 14, 20_000, 42
-#: Pseudo-count of each bucket, and the temperature of the draw: below 1, weights outweigh the Gumbel noise.
-SMOOTH, TEMPERATURE = 0.5, 0.1
+#: Pseudo-count of each bucket, and the independent n-grams that a long text counts as.
+SMOOTH, EVIDENCE = 0.5, 16.0
 #: Of the labelled good documents, the share that the fitted cut may lose at most.
 MAY_LOSE = 0.002
 
@@ -41,11 +46,10 @@ def buckets(text: str | None) -> np.ndarray:
 def bucket_counts(texts: DataFrame) -> np.ndarray:
     """Occurrences of each bucket in all rows of texts (text, kind): kind 1 into row 1, all into row 0. BUCKETS rows a
     kind reach the driver, whatever the size of the corpus."""
-    small_batches(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, BUCKETS), np.int64)
-        for batch in batches:
+        for batch in bounded(batches):
             for text, kind in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 found = np.bincount(buckets(text.as_py()), minlength=BUCKETS)
                 sums[0] += found
@@ -68,13 +72,18 @@ def log_ratio(counts: np.ndarray) -> np.ndarray:
     return np.log(p[1]) - np.log(p[0])
 
 
-def weigher(spark, ratio: np.ndarray):
-    """A column function text -> log importance weight: the sum of log ratios over the text's n-grams; 0 if it has none."""
+def log_weight(found: np.ndarray, ratio: np.ndarray, evidence: float) -> float:
+    """Log importance weight of a text with these buckets; 0 if it has none."""
+    return float(ratio[found].sum() * evidence / (len(found) + evidence))
+
+
+def weigher(spark, ratio: np.ndarray, evidence: float):
+    """log_weight as a column function of the text."""
     shared = spark.sparkContext.broadcast(ratio)
 
     @F.pandas_udf("double")
     def weight(texts: pd.Series) -> pd.Series:
-        return pd.Series([float(shared.value[buckets(t)].sum()) for t in texts])
+        return pd.Series([log_weight(buckets(t), shared.value, evidence) for t in texts])
 
     return weight
 
@@ -98,20 +107,22 @@ def uniform(doc_id: Column, seed: int) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
-def draw(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, temperature: float = TEMPERATURE, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text"):
+def draw(docs: DataFrame, labels: DataFrame, *, keep: int | float | None = None, labelled: int = LABELLED, evidence: float = EVIDENCE, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text"):
     """(rows with id, text_hash, log_weight, key and rank; k; the column of a row's key in any table with id and text)."""
     spark = docs.sparkSession
-    small_batches(spark)
     marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     marks = stash(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled).select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("good")), "labelled")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     marked = rows.join(F.broadcast(marks), "id", "left")  # at most `labelled` rows
-    weight = weigher(spark, log_ratio(bucket_counts(marked.select("text", F.coalesce("good", F.lit(False)).cast("int").alias("kind")))))
+    weight = weigher(spark, log_ratio(bucket_counts(marked.select("text", F.coalesce("good", F.lit(False)).cast("int").alias("kind")))), evidence)
     own = stash(marked.select("id", F.xxhash64("text").alias("text_hash"), weight("text").alias("log_weight"), "good"), "weights")
-    fit = own.filter("good IS NOT NULL").dropDuplicates(["id"]).select("log_weight", "good").toPandas()  # at most `labelled` rows
-    cut = fitted_cut(fit["log_weight"].to_numpy(float), fit["good"].to_numpy(bool))
-    k = own.filter(F.col("log_weight") >= F.lit(float(cut))).count()
-    key = lambda id_, log_weight: log_weight / temperature - F.log(-F.log(uniform(id_, seed)))
+    if keep is None:
+        fit = own.filter("good IS NOT NULL").dropDuplicates(["id"]).select("log_weight", "good").toPandas()  # at most `labelled` rows
+        cut = fitted_cut(fit["log_weight"].to_numpy(float), fit["good"].to_numpy(bool))
+        k = own.filter(F.col("log_weight") >= F.lit(float(cut))).count()
+    else:
+        k = keep if isinstance(keep, int) else round(keep * own.count())
+    key = lambda id_, weight: weight - F.log(-F.log(uniform(id_, seed)))
     order = ranked(own.withColumn("key", key(F.col("id"), F.col("log_weight"))), "rank", F.col("key").desc(), F.col("id").asc_nulls_last(), F.col("text_hash"))
     return order, k, lambda id_, text: key(id_, weight(text))
 
@@ -119,10 +130,11 @@ def draw(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, temper
 def sampled(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """(id, text_hash, log_weight, rank, kept) for every row of docs.
 
-    k is the number of documents whose weight passes the fitted cut; kept are the k with the largest weight /
-    temperature + Gumbel noise of the id. Without good and bad labels k is all. Null text counts as empty, with weight
-    0; rows of one id and text share their draw; ties in rank go to the smaller id. Documents labelled more than once
-    are good if the lowest quality given is 1; labels with a null in either column don't count.
+    Kept are the k rows with the largest log weight + Gumbel noise of the id. keep: k, or as a float the share of rows;
+    without it the labels size the draw, and without good and bad labels k is all. Null text counts as empty, with weight
+    0; rows of one id and text share their draw; ties in rank go to the smaller id. Whole texts count, however long.
+    Documents labelled more than once are good if the lowest quality given is 1; labels with a null in either column
+    don't count. An empty table has no rows.
     """
     order, k, _ = draw(docs, labels, **options)
     return order.select("id", "text_hash", "log_weight", "rank", (F.col("rank") <= k).alias("kept"))

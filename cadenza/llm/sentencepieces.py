@@ -14,12 +14,14 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from cadenza.llm.common import fresh, small_batches
+from cadenza.llm.common import bounded, fresh
 
 MARK = "▁"
 #: Where the vocabulary file is, unless a caller names another.
@@ -120,7 +122,7 @@ def rebuild(m: Model):
     out = T.Tokenizer(core)
     steps = [T.normalizers.Precompiled(m.charsmap)] if m.charsmap else []
     if m.squeeze:
-        steps += [T.normalizers.Replace(T.Regex("^ +| +$"), ""), T.normalizers.Replace(T.Regex(" {2,}"), " ")]
+        steps += [T.normalizers.Replace(T.Regex(r"\A +| +\z"), ""), T.normalizers.Replace(T.Regex(" {2,}"), " ")]
     if m.escape:
         steps.append(T.normalizers.Replace(" ", MARK))
     if m.dummy_prefix:
@@ -134,49 +136,147 @@ def rebuild(m: Model):
 
 
 SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+#: Fixed value of the library: what an unknown character costs beyond the worst score.
+UNKNOWN_PENALTY = 10.0
+
+
+def best_path(m: Model, text: str) -> list[int]:
+    """Ids of a normalised text's likeliest pieces in single precision, summed up from the text's beginning, which is what
+    decides between paths that are next to equally likely. Only pieces that may come from text are looked up."""
+    scores = {p: np.float32(x) for p, x, k in zip(m.pieces, m.scores, m.kinds, strict=True) if k == NORMAL}
+    longest = max(map(len, scores), default=1)
+    unknown = np.float32(min(scores.values(), default=0) - UNKNOWN_PENALTY)
+    best: list[tuple[np.float32, int, bool] | None] = [(np.float32(0), 0, False), *[None] * len(text)]
+    for at in range(len(text)):
+        here = best[at][0]
+        for end in range(at + 1, min(len(text), at + longest) + 1):
+            if (own := scores.get(text[at:end])) is not None:
+                if best[end] is None or here + own > best[end][0]:
+                    best[end] = (here + own, at, True)
+            elif end == at + 1 and (best[end] is None or here + unknown > best[end][0]):
+                best[end] = (here + unknown, at, False)
+    ids = {p: i for i, p in enumerate(m.pieces)}
+    out: list[list[int]] = []
+    at, was_unknown = len(text), False
+    while at:
+        _, begin, known = best[at]
+        if known:
+            out.append([ids[text[begin:at]]])
+        elif m.byte_fallback:
+            out.append([ids[f"<0x{b:02X}>"] for b in text[begin:at].encode()])
+        elif not was_unknown:
+            out.append([m.unk_id])
+        at, was_unknown = begin, not known
+    return [i for part in reversed(out) for i in part]
 
 
 class Encoder:
-    """Batches of texts to ids. Segments that a worker has met are looked up; the others go to the tokenizer as one
-    batch, which it deals to its threads. The memory for them is bounded, and emptied when full."""
+    """Batches of texts to ids. Where pieces don't reach over white space markers, a batch's distinct segments are looked
+    up, and those that a worker hasn't met go to the tokenizer as one batch, which it deals to its threads. At most `most`
+    segments are remembered, or those of one batch."""
 
-    def __init__(self, model: bytes, most: int = 200_000) -> None:
+    def __init__(self, model: bytes, most: int = 500_000) -> None:
         import tokenizers as T
 
-        self.model = Model.parse(model)
-        self.tokenizer, self.most = rebuild(self.model), most
-        self.cut = cuttable(self.model)
-        self.known: dict[str, tuple[list[int], bool]] = {}
+        self.model = m = Model.parse(model)
+        self.whole, self.tokenizer = rebuild(m), rebuild(m)
+        self.cut = cuttable(m)
+        self.plain = not m.charsmap and not m.squeeze and m.escape
+        self.most = most
+        self.forget()
         if self.cut:
-            self.normalizer, self.tokenizer.normalizer = self.tokenizer.normalizer, T.normalizers.Sequence([])
-            self.tokenizer.decoder = T.decoders.Sequence([T.decoders.Replace(MARK, " "), T.decoders.ByteFallback(), T.decoders.Fuse()])
-
-    def segments(self, text: str) -> list[str]:
-        m = self.model
-        if m.charsmap or m.squeeze:
-            return SEGMENT.findall(self.normalizer.normalize_str(text))
-        return SEGMENT.findall(MARK * (m.dummy_prefix and bool(text)) + text.replace(" ", MARK))
-
-    def __call__(self, texts: list[str]) -> list[tuple[list[int], bool]]:
-        """(ids, whether these decode to the normalised text) of each text."""
-        if not self.cut:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-            wanted = [self.tokenizer.normalizer.normalize_str(t).replace(MARK, " ")[self.model.dummy_prefix :] for t in texts]
-            return [(i, b == w) for i, b, w in zip(ids, back, wanted, strict=True)]
-        parts = [self.segments(t) for t in texts]
-        new = list({s for p in parts for s in p if s not in self.known})
+            self.tokenizer.normalizer = T.normalizers.Sequence([])
+        foreign = [p for p, k in zip(m.pieces, m.kinds, strict=True) if k not in (NORMAL, USER_DEFINED)]
+        #: What a unigram tokenizer would take from text although the model doesn't.
+        self.foreign = re.compile("|".join(map(re.escape, foreign))) if foreign and m.model_type == UNIGRAM else None
+
+    def forget(self) -> None:
+        """known: the place of each remembered segment; its ids are those of flat from ends[place] to ends[place + 1]."""
+        self.known: dict[str, int] = {}
+        self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def places(self, names: list[str]) -> np.ndarray:
+        """Of each of the distinct names, its place among the remembered segments."""
+        new = [s for s in names if s not in self.known]
         if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = list({s for p in parts for s in p})
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        self.known.update((s, (i, b == s.replace(MARK, " "))) for s, i, b in zip(new, ids, back, strict=True))
-        out = []
-        for p in parts:
-            found = [self.known[s] for s in p]
-            out.append(([i for ids, _ in found for i in ids], all(ok for _, ok in found)))
-        return out
+            self.forget()
+            new = names
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum()))])
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
+        return np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+
+    def normal(self, text: str) -> str:
+        m = self.model
+        if not self.plain:
+            return self.whole.normalizer.normalize_str(text)
+        return MARK * (m.dummy_prefix and bool(text)) + text.replace(" ", MARK)
+
+    def wanted(self, text: str) -> str:
+        """What decoding gives back: the normalised text."""
+        if self.plain:
+            return text.replace(MARK, " ")
+        found = self.normal(text)
+        return (found.replace(MARK, " ") if self.model.escape else found)[bool(found) and self.model.dummy_prefix :]
+
+    def segments(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(segment, number, names): the segments of all texts one after the other by their place in names, and how many
+        each text has. Texts without doubled spaces or markers are split in one go."""
+        n = len(texts)
+        if self.plain and self.model.dummy_prefix:
+            parts = pc.split_pattern(texts.cast(pa.large_string()), " ")
+            coded = parts.flatten().dictionary_encode()
+            odd = pc.or_(pc.equal(coded.dictionary, ""), pc.match_substring(coded.dictionary, MARK)).to_numpy(zero_copy_only=False)
+            at, number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+            names = pc.binary_join_element_wise(pa.scalar(MARK, pa.large_string()), coded.dictionary, pa.scalar("", pa.large_string())).to_pylist() if len(coded.dictionary) else []
+            doc = np.repeat(np.arange(n), number)
+            slow = np.flatnonzero(np.bincount(doc, odd[at] if len(at) else None, minlength=n) > 0)
+        else:
+            at, number, names, doc, slow = np.zeros(0, np.int64), np.zeros(n, np.int64), [], np.zeros(0, np.int64), np.arange(n)
+        if not len(slow):
+            return at, number, names
+        more = {s: i for i, s in enumerate(names)}
+        lists = np.split(at, np.cumsum(number)[:-1])
+        for i in slow:
+            lists[i] = np.array([more.setdefault(s, len(more)) for s in SEGMENT.findall(self.normal(texts[int(i)].as_py()))], np.int64)
+            number[i] = len(lists[i])
+        return np.concatenate(lists), number, list(more)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, where each text's begin, and the end)."""
+        if self.cut:
+            segment, number, names = self.segments(texts)
+            place = self.places(names)[segment]
+        else:
+            names = texts.to_pylist()
+            self.forget()  # whole texts aren't worth remembering
+            self.places(list(dict.fromkeys(names)))
+            number, place = np.ones(len(texts), np.int64), np.array([self.known[t] for t in names], np.int64)
+        begin = self.ends[place]
+        own = self.ends[place + 1] - begin
+        ends = np.cumsum(own)
+        ids = self.flat[np.repeat(begin - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(number)])]
+        if self.foreign is not None:
+            rest = [i for i, t in enumerate(texts.to_pylist()) if self.foreign.search(t)]
+            ids, bounds = self.again(texts, ids, bounds, rest)
+        return ids, bounds
+
+    def again(self, texts: pa.Array, ids: np.ndarray, bounds: np.ndarray, rows: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The result with the given texts' ids found by best_path."""
+        if not rows:
+            return ids, bounds
+        lists = np.split(ids, bounds[1:-1])
+        for i in rows:
+            lists[i] = np.array(best_path(self.model, self.normal(texts[i].as_py())), np.int32)
+        return np.concatenate(lists), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts of whole id lists."""
+        flat = ids.tolist()
+        return self.whole.decode_batch([flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], skip_special_tokens=False)
 
 
 def model_bytes(path: str = MODEL_PATH) -> bytes:
@@ -186,17 +286,16 @@ def model_bytes(path: str = MODEL_PATH) -> bytes:
 
 def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", ids: str = "ids", threads: int = THREADS, verify: bool = True) -> DataFrame:
     """docs with the ids of each text and, if verify, two columns more: parity (the sentencepiece library gives the same
-    ids) and decodes (the ids give the text back, as normalised). Null text: all three null; empty text: no ids.
+    ids) and decodes (the whole ids, decoded, give the text back, as normalised).
 
-    The model file's bytes are a few MB at most and go to the workers by broadcast. New columns get other names if docs
-    has theirs: underscores are put before them.
+    Null text: all three null; empty text: no ids. Whole texts are encoded, however long, and repeated rows alike. Of a
+    unigram model's paths some are next to equally likely; with verify, a text whose ids differ from the library's is
+    segmented once more in the library's precision. The model file's bytes are a few MB at most and go to the workers by
+    broadcast. New columns get other names if docs has theirs: underscores are put before them.
     """
-    spark = docs.sparkSession
-    small_batches(spark, 64)
-    shared = spark.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [fresh(docs, ids), *([fresh(docs, "parity"), fresh(docs, "decodes")] if verify else [])]
     kinds = ["array<int>", *(["boolean", "boolean"] if verify else [])]
-    arrow = [pa.list_(pa.int32()), pa.bool_(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["RAYON_NUM_THREADS"], os.environ["TOKENIZERS_PARALLELISM"] = str(threads), "true"
@@ -204,17 +303,31 @@ def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", ids: str =
 
         encoder = Encoder(shared.value)
         judge = sentencepiece.SentencePieceProcessor(model_proto=shared.value) if verify else None
-        for batch in batches:
-            texts = batch.column(batch.schema.names.index(text_col)).to_pylist()
-            there = [t for t in texts if t is not None]
-            found = encoder(there)
-            columns = [[i for i, _ in found]]
+
+        def differing(theirs: list[np.ndarray], found: np.ndarray, bounds: np.ndarray) -> list[int]:
+            return [i for i, x in enumerate(theirs) if not np.array_equal(x, found[bounds[i] : bounds[i + 1]])]
+
+        for batch in bounded(batches, 1 << 13):
+            column = batch.column(batch.schema.names.index(text_col))
+            there = column.is_valid().to_numpy(zero_copy_only=False)
+            texts = column.drop_null()
+            found, bounds = encoder(texts)
+            marks = []
             if verify:
-                columns.append([i == j for i, j in zip(columns[0], judge.encode(there, num_threads=1), strict=True)])
-                columns.append([ok for _, ok in found])
-            rows = [iter(c) for c in columns]
-            full = [[None if t is None else next(r) for t in texts] for r in rows]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(full, arrow, strict=False))], names=[*batch.schema.names, *names])
+                strings = texts.to_pylist()
+                theirs = judge.encode(strings, num_threads=1, out_type="numpy")
+                wrong = differing(theirs, found, bounds)
+                if wrong and encoder.model.model_type == UNIGRAM and USER_DEFINED not in encoder.model.kinds:
+                    found, bounds = encoder.again(texts, found, bounds, wrong)
+                    wrong = differing(theirs, found, bounds)
+                same = np.ones(len(texts), bool)
+                same[wrong] = False
+                back = encoder.decode(found, bounds)
+                marks = [same, np.array([b == encoder.wanted(t) for b, t in zip(back, strings, strict=True)], bool)]
+            place = np.concatenate([[0], np.cumsum(there)])
+            lists = pa.ListArray.from_arrays(pa.array(bounds[place], pa.int32()), pa.array(found, pa.int32()), mask=pa.array(~there))
+            spread = [pa.array(np.concatenate([m, [False]])[np.minimum(place[:-1], len(m))], mask=~there) for m in marks]
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists, *spread], names=[*batch.schema.names, *names])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True))])
     return docs.mapInArrow(run, schema)
@@ -222,14 +335,12 @@ def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", ids: str =
 
 def decode(tokens: DataFrame, model: bytes, *, ids_col: str = "ids", text: str = "text") -> DataFrame:
     """tokens with the text that the ids give. Null ids: null; no ids: empty."""
-    spark = tokens.sparkSession
-    small_batches(spark, 64)
-    shared = spark.sparkContext.broadcast(model)
+    shared = tokens.sparkSession.sparkContext.broadcast(model)
     name = fresh(tokens, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = rebuild(Model.parse(shared.value))
-        for batch in batches:
+        for batch in bounded(batches):
             ids = batch.column(batch.schema.names.index(ids_col)).to_pylist()
             found = iter(tokenizer.decode_batch([x for x in ids if x is not None], skip_special_tokens=False))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([None if x is None else next(found) for x in ids], pa.string())], names=[*batch.schema.names, name])

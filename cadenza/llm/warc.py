@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import shared_path, small_batches, stash
+from cadenza.llm.common import bounded, shared_path, stash
 
 MAGIC = "WARC/1.1\r\n"
 BREAK = "\r\n\r\n"
@@ -67,13 +67,12 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     Nothing is shuffled: a split's rows come in order, so their lengths are added up as they pass."""
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:  # files are split alike however often they are read
         spark.conf.set("spark.sql.files.minPartitionNum", spark.sparkContext.defaultParallelism)
-    small_batches(spark)
     raw = spark.read.option("lineSep", MAGIC).text(path)
     raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, at = None, 0
-        for batch in batches:
+        for batch in bounded(batches):
             within = []
             for file, split, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), pc.binary_length(batch.column(2)).to_pylist(), strict=True):
                 if now != (file, split):
