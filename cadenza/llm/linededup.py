@@ -76,16 +76,16 @@ def alike(a: list[int], b: list[int], i: int, j: int) -> int:
 
 
 def patience(a: list[int], b: list[int], likeness: Callable[[int, int], int]) -> list[tuple[int, int]]:
-    """Aligned places (in a, in b) of two sequences of line hashes: common lines at both ends, then lines that occur once
-    on either side, of these a longest chain in the same order, and the same again between its links. Where all common
+    """Aligned places (in a, in b) of two sequences of line hashes: of the lines that occur once on either side a longest
+    chain in the same order, common lines next to its links, and the same again between these. Where all common
     lines repeat, the least frequent one takes the place of the chain, at the two places of the greatest likeness."""
-    found, todo = [], [(0, len(a), 0, len(b))]
+    found, todo = [], [(0, len(a), 0, len(b), False, False)]
     while todo:
-        i, m, j, n = todo.pop()
-        while i < m and j < n and a[i] == b[j]:
+        i, m, j, n, after, before = todo.pop()
+        while after and i < m and j < n and a[i] == b[j]:
             found.append((i, j))
             i, j = i + 1, j + 1
-        while i < m and j < n and a[m - 1] == b[n - 1]:
+        while before and i < m and j < n and a[m - 1] == b[n - 1]:
             m, n = m - 1, n - 1
             found.append((m, n))
         if i == m or j == n:
@@ -102,8 +102,9 @@ def patience(a: list[int], b: list[int], likeness: Callable[[int, int], int]) ->
         elif common:
             h = min(common, key=lambda h: (len(at_a[h]) * len(at_b[h]), at_b[h][0]))
             once = [max(((p, q) for p in at_a[h][:NEAR] for q in at_b[h][:NEAR]), key=lambda pq: likeness(*pq))]
-        links = [(i, j), *once, (m, n)]
-        todo += [(p, q, r, s) for (p, r), (q, s) in zip(links, links[1:], strict=False) if once]
+        if once:
+            links = [(i, j), *once, (m, n)]
+            todo += [(p, q, r, s, k > 0, k < len(once)) for k, ((p, r), (q, s)) in enumerate(zip(links, links[1:], strict=False))]
     return sorted(found)
 
 
