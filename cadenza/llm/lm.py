@@ -45,9 +45,9 @@ PARAMS = ("wx", "u", "wc", "bc", "wi", "bi")
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(token, document, words): for each token of the texts its place in words and the text's number. Words are
     lower-cased in A-Z and split at ASCII white space; each text's last token is the end, the last of words."""
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string())))
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))  # no cast before ascii_lower: of a slice it reads other bytes
     coded = parts.flatten().dictionary_encode()
-    at, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.string())
+    at, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
     doc = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
     there = pc.not_equal(words, "").to_numpy(zero_copy_only=False)[at] if len(words) else np.zeros(0, bool)
     at, doc = at[there], doc[there]

@@ -175,7 +175,7 @@ class Encoder:
     up, and those that a worker hasn't met go to the tokenizer as one batch, which it deals to its threads. At most `most`
     segments are remembered, or those of one batch."""
 
-    def __init__(self, model: bytes, most: int = 500_000) -> None:
+    def __init__(self, model: bytes, most: int = 150_000) -> None:
         import tokenizers as T
 
         self.model = m = Model.parse(model)
@@ -226,11 +226,11 @@ class Encoder:
         each text has. Texts without doubled spaces or markers are split in one go."""
         n = len(texts)
         if self.plain and self.model.dummy_prefix:
-            parts = pc.split_pattern(texts.cast(pa.large_string()), " ")
+            parts = pc.split_pattern(texts, " ")
             coded = parts.flatten().dictionary_encode()
             odd = pc.or_(pc.equal(coded.dictionary, ""), pc.match_substring(coded.dictionary, MARK)).to_numpy(zero_copy_only=False)
             at, number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
-            names = pc.binary_join_element_wise(pa.scalar(MARK, pa.large_string()), coded.dictionary, pa.scalar("", pa.large_string())).to_pylist() if len(coded.dictionary) else []
+            names = pc.binary_join_element_wise(pa.scalar(MARK), coded.dictionary, pa.scalar("")).to_pylist() if len(coded.dictionary) else []
             doc = np.repeat(np.arange(n), number)
             slow = np.flatnonzero(np.bincount(doc, odd[at] if len(at) else None, minlength=n) > 0)
         else:
@@ -307,7 +307,7 @@ def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", ids: str =
         def differing(theirs: list[np.ndarray], found: np.ndarray, bounds: np.ndarray) -> list[int]:
             return [i for i, x in enumerate(theirs) if not np.array_equal(x, found[bounds[i] : bounds[i + 1]])]
 
-        for batch in bounded(batches, 1 << 13):
+        for batch in bounded(batches, 1 << 13, 2 << 20):
             column = batch.column(batch.schema.names.index(text_col))
             there = column.is_valid().to_numpy(zero_copy_only=False)
             texts = column.drop_null()

@@ -32,6 +32,19 @@ def test_counts_and_base(spark, monkeypatch, known):
     assert all(math.isfinite(r.score) and r.score <= 0 for r in got)
 
 
+def test_words_of_slices():
+    rng = np.random.default_rng(2)
+    odd = [None, "", " ", "Ünï Çode É\u00a0x\u0085Y", "\x0b a\x0cB\r\nc\x1cd ", "ZZ " * 500]
+    rows = [odd[i % 7] if i % 7 < 6 else " ".join(f"W{n}" for n in rng.integers(0, 50, 40)) for i in range(2000)]
+    whole = pa.array(rows, pa.string())
+    upper = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+    for at in (0, 1, 700, 1999):
+        token, doc, words = lm.words_of(whole.slice(at, 600))
+        names = np.array([*words.to_pylist()], object)
+        for k, t in enumerate(rows[at : at + 600]):
+            assert names[token[doc == k]].tolist() == [*(w.decode() for w in (t or "").translate(upper).encode().split()), ""]
+
+
 def test_held_out_texts_are_likelier_than_under_the_base(spark):
     got = lm.scored(spark.createDataFrame(texts()[:300], SCHEMA)).filter("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)

@@ -72,6 +72,15 @@ def test_pieces_that_never_come_from_text():
     assert (ids.tolist(), bounds.tolist()) == ([2, 3, 3, 5, 4, 6, 2, 0, 2, 3], [0, 6, 6, 10])
 
 
+def test_slices(model):
+    judge = sentencepiece.SentencePieceProcessor(model_proto=model)
+    rows = [t for _ in range(40) for t in ODD[1:-2]] + [f"some näme {i} of  a täble" for i in range(900)]
+    for at in (1, 300, 1000):
+        part = pa.array(rows).slice(at, 400)
+        ids, bounds = sentencepieces.Encoder(model)(part)
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == judge.encode(part.to_pylist())
+
+
 def test_few_segments_remembered(model):
     texts = pa.array(["a b c a", "", "d  e", "a b c a", "f g h i j k"])
     whole, small = sentencepieces.Encoder(model), sentencepieces.Encoder(model, most=3)
