@@ -59,3 +59,16 @@ def ranked(df: DataFrame, name: str, *order: Column, within: str | None = None)
     small = sizes if within else F.broadcast(sizes)  # without `within` one row a partition
     joined = rows.alias("r").join(small.alias("s"), same, "left")
     return joined.select("r.*", (F.col("s.rows_before") + F.col(f"r.{at}") - F.col(f"s.{low}") + 1).alias(name)).drop(pid, at)
+
+
+def summed_before(df: DataFrame, name: str, value: str, *order: Column) -> DataFrame:
+    """df with the sum of `value` over the rows before each in the given total order: sums within range partitions side by
+    side, plus those of the partitions before. One row a partition meets in a single task."""
+    pid, at = fresh(df, "pid"), fresh(df, "at")
+    shared_dir(df.sparkSession)
+    rows = df.orderBy(*order).checkpoint().withColumn(at, F.monotonically_increasing_id())
+    rows = rows.withColumn(pid, F.shiftright(at, 33))
+    sizes = rows.groupBy(pid).agg(F.sum(value).alias("n"))
+    sizes = sizes.select(pid, F.coalesce(F.sum("n").over(Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("sum_before"))
+    own = F.coalesce(F.sum(value).over(Window.partitionBy(pid).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.withColumn("own_before", own).join(F.broadcast(sizes), pid).withColumn(name, F.col("sum_before") + F.col("own_before")).drop(pid, at, "sum_before", "own_before")

@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
-from cadenza.operators import coverage, frames, metrics
+from cadenza.operators import frames, splits
 from cadenza.queries import ORACLES, QUERIES
+from cadenza.shared import ranked, summed_before
 from tests.oracle import compared
 
 SF = "/root/testdata/sf0.001"
@@ -9,8 +11,9 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, name):
-    mine, theirs = compared(spark, QUERIES[name], ORACLES[name], SF)
-    assert mine == theirs and (mine or name == "missing_expected")
+    # hours of the smallest table have too few events for a topic that most of them have
+    mine, theirs = compared(spark, QUERIES[name], ORACLES[name], "/root/testdata/sf0.01" if name == "missing_expected" else SF)
+    assert mine == theirs and mine
 
 
 def test_entry(spark):
@@ -35,14 +38,23 @@ def test_subsample_is_greedy(spark):
     assert sorted(r.ts for r in frames.subsample(df, "ts", 2.0).collect()) == greedy(times, 2.0)
 
 
-def test_degraded_rates(spark):
-    rows = [("a", 1, 60.0), ("a", 2, 60.0), ("a", 3, 50.0), ("b", 1, 60.0), ("b", 2, 59.0), ("b", 3, 61.0), ("c", 1, 60.0), ("d", 1, 60.0), ("d", 2, 60.0), ("d", 3, 60.0), ("d", 4, 48.0)]
-    got = coverage.fps_degradation(spark.createDataFrame(rows, "topic string, episode_index int, avg_fps double")).filter("degraded").collect()
-    assert sorted((r.topic, r.episode_index) for r in got) == [("a", 3), ("d", 4)]
+def test_ranks_and_sums_over_partitions(spark):
+    rows = [(i % 3, (i * 7919) % 1000, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "g int, x int, id int")
+    got = {r.id: (r.k, r.w) for r in ranked(ranked(df, "k", F.col("x"), F.col("id")), "w", F.col("x"), F.col("id"), within="g").collect()}
+    order = sorted((x, i) for _, x, i in rows)
+    assert all(got[i][0] == k for k, (_, i) in enumerate(order, 1))
+    for g in range(3):
+        assert all(got[i][1] == k for k, (_, i) in enumerate((o for o in order if o[1] % 3 == g), 1))
+    total, before = 0, {r.id: r.s for r in summed_before(df, "s", "x", F.col("x"), F.col("id")).collect()}
+    for x, i in order:
+        assert before[i] == total
+        total += x
+    assert ranked(df.filter("false"), "k", F.col("x")).count() == 0
 
 
 def test_split_counts():
-    assert metrics.split_counts(33, (8, 1, 1)) == (27, 3, 3)
+    assert splits.split_counts(33, (8, 1, 1)) == (27, 3, 3)
     for bad in ((0, (8, 1)), (3, (0, 0)), (3, (1,))):
         with pytest.raises(ValueError):
-            metrics.split_counts(*bad)
+            splits.split_counts(*bad)
