@@ -74,7 +74,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) over all rows of docs (text); tasks add up before the shuffle, so frequent words move little."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, 1 << 14, 32 << 20):
+        for batch in bounded(batches, 1 << 13, 4 << 20):
             token, _, words = words_of(batch.column(0))
             n = np.bincount(token, minlength=len(words))
             yield pa.RecordBatch.from_arrays([words, pa.array(n)], names=["word", "n"]).filter(pa.array(n > 0))
@@ -150,20 +150,22 @@ def lanes_of(docs: list[np.ndarray], most: int) -> list[list[int]]:
 def windows(docs: list[np.ndarray], most: int, steps: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(inputs, targets, document) of `steps` steps and the lanes that still go on; target -1 behind a lane's end."""
     lanes = lanes_of(docs, most)
-    rows = []
-    for lane in lanes:
-        t = np.concatenate([docs[i] for i in lane]).astype(np.int32)
-        sizes = [len(docs[i]) for i in lane]
-        x = np.concatenate([[BOS], t[:-1]]).astype(np.int32)
-        x[np.cumsum([0, *sizes[:-1]])] = BOS
-        rows.append((x, t, np.repeat(np.array(lane, np.int32), sizes)))
-    for at in range(0, len(rows[0][0]) if rows else 0, steps):
-        n = sum(len(t) > at for _, t, _ in rows)
-        x, y, owner = (np.full((min(steps, len(rows[0][0]) - at), n), fill, np.int32) for fill in (BOS, -1, 0))
-        for k in range(n):
-            end = len(rows[k][0]) - at
-            x[:end, k], y[:end, k], owner[:end, k] = (r[at : at + steps] for r in rows[k])
-        yield x, y, owner
+    order = [i for lane in lanes for i in lane]
+    if not order:
+        return
+    sizes = np.array([len(docs[i]) for i in order])
+    target = np.concatenate([docs[i] for i in order]).astype(np.int32)
+    source = np.concatenate([[BOS], target[:-1]]).astype(np.int32)
+    source[np.cumsum(sizes) - sizes] = BOS
+    of = np.repeat(np.array(order, np.int32), sizes)
+    long = np.array([sum(len(docs[i]) for i in lane) for lane in lanes])
+    begin = np.cumsum(long) - long
+    for at in range(0, int(long[0]), steps):
+        n = int((long > at).sum())
+        t = at + np.arange(min(steps, int(long[0]) - at))[:, None]
+        inside = t < long[:n]
+        place = begin[:n] + np.minimum(t, long[:n] - 1)
+        yield np.where(inside, source[place], BOS), np.where(inside, target[place], -1), of[place]
 
 
 def forward(p: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
@@ -174,11 +176,12 @@ def forward(p: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarr
     (z, r, c), (uz, ur, uc) = gates, p["u"]
     states, before, reset = np.empty_like(z), np.empty_like(z), np.empty_like(z)
     new = x == BOS
+    any_new = new.any(1).tolist()
     some = np.empty_like(h)
     for t in range(len(x)):
         h0 = before[t]
         h0[:] = h
-        if new[t].any():
+        if any_new[t]:
             h0[new[t]] = 0
         for gate, u in ((z[t], uz), (r[t], ur)):
             np.matmul(h0, u, out=some)
@@ -203,6 +206,7 @@ def backward(p: dict, memory: tuple, d_states: np.ndarray, x: np.ndarray, grads:
     to_c, to_z, to_r, stay = z * (1 - c * c), 2 * (c - before) * z * (1 - z), 2 * before * r * (1 - r), 1 - z
     dz, dr, dc = np.empty_like(z), np.empty_like(z), np.empty_like(z)
     d = np.zeros(z.shape[1:], z.dtype)
+    any_new = new.any(1).tolist()
     for t in range(len(x) - 1, -1, -1):
         d += d_states[t]
         np.multiply(d, to_c[t], out=dc[t])
@@ -214,14 +218,15 @@ def backward(p: dict, memory: tuple, d_states: np.ndarray, x: np.ndarray, grads:
         d += d_reset
         d += dz[t] @ back[0]
         d += dr[t] @ back[1]
-        if new[t].any():
+        if any_new[t]:
             d[new[t]] = 0
     flat = lambda a: a.reshape(-1, a.shape[-1])
     grads["u"] = np.stack([flat(before).T @ flat(dz), flat(before).T @ flat(dr), flat(reset).T @ flat(dc)])
     at = x.reshape(-1)
     order = np.argsort(at.astype(np.uint16), kind="stable")
-    ids, first = np.unique(at[order], return_index=True)
-    grads["wx"] = (ids, np.stack([np.add.reduceat(flat(g).take(order, axis=0), first) for g in (dz, dr, dc)]))
+    ids = at[order]
+    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    grads["wx"] = (ids[first], np.stack([np.add.reduceat(flat(g).take(order, axis=0), first) for g in (dz, dr, dc)]))
 
 
 def log_probs(p: dict, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -232,8 +237,9 @@ def log_probs(p: dict, states: np.ndarray, targets: np.ndarray, grads: dict | No
         """Probabilities (outcomes x rows) and the log of each row's own outcome."""
         q = weights.T @ s.T
         q += bias[:, None]
-        q -= q.max(0)
         rows = np.arange(len(own))
+        if len(own) and not -60 < float(q[0].min()) <= float(q.max()) < 60:  # then exp can neither overflow nor leave a sum of 0
+            q -= q.max(0)
         out = q[own, rows]
         np.exp(q, out=q)
         total = q.sum(0)
@@ -382,7 +388,7 @@ def coded_texts(rows: DataFrame, lex: Lexicon) -> DataFrame:
         lex = shared.value
         vocabulary = pa.array(lex.words, pa.string())
         key = TaskContext.get().partitionId() << 33
-        for batch in bounded(batches, 1 << 14, 16 << 20):
+        for batch in bounded(batches, 1 << 13, 4 << 20):
             n = batch.num_rows
             token, doc, words = words_of(batch.column(1))
             at = pc.fill_null(pc.index_in(words, value_set=vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
