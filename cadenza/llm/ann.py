@@ -84,7 +84,8 @@ def fit(x: np.ndarray, books: int = BOOKS, words: int = WORDS, rounds: int = 8,
 
 def build(vectors: DataFrame, *, sample: int = SAMPLE, books: int = BOOKS, words: int = WORDS, id_col: str = "vec_id", vec_col: str = "embedding") -> tuple[DataFrame, Books | None]:
     """The index, (id, v, codes, norm, coded_norm, error) of every usable row, written to the shared folder, and its codebooks;
-    None for a table without usable rows."""
+    None for a table without usable rows. Usable: an id, and a vector of the usual length without null or non-finite
+    components that isn't zero. Repeated rows are coded each; search takes them as one."""
     rows = stash(usable(vectors, id_col=id_col, vec_col=vec_col), "vectors")
     some = rows.orderBy(F.xxhash64("id"), "id", "v").limit(sample).toPandas()  # at most `sample` rows
     if some.empty:
@@ -102,7 +103,7 @@ def build(vectors: DataFrame, *, sample: int = SAMPLE, books: int = BOOKS, words
 
 
 def block_top(model: Books, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, stretch: np.ndarray, error: float, query_ids: np.ndarray, queries: np.ndarray, k: int, share: float) -> list[np.ndarray]:
-    """(query id, id, score) of the k best rows of a block for each query."""
+    """(number of the query, id, score) of the k best rows of a block for each query."""
     n = len(ids)
     slack = MARGIN * error / np.sqrt(x.shape[1])
     wanted = min(n, max(4 * k, int(np.ceil(n * share))) + 1)
@@ -122,12 +123,19 @@ def block_top(model: Books, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, s
             near = near[ids[near] != query_ids[at + j]]
             exact = (x[near] * query).sum(1)
             best = np.lexsort((ids[near], -exact))[:k]
-            out[0].append(np.full(len(best), query_ids[at + j]))
+            out[0].append(np.full(len(best), at + j))
             out[1].append(ids[near[best]])
             out[2].append(exact[best])
     return [np.concatenate(c) if c else np.zeros(0) for c in out]
 
 
+def distinct(ids: np.ndarray, packed_rows: list[bytes]) -> np.ndarray:
+    """Places of rows, repeated ones (of one id and vector) once. Rows of one id are in one block."""
+    if len(np.unique(ids)) == len(ids):
+        return np.arange(len(ids))
+    return np.sort(np.fromiter({(i, v): k for k, (i, v) in enumerate(zip(ids.tolist(), packed_rows, strict=True))}.values(), np.int64))
+
+
 def search(index: DataFrame, model: Books | None, queries: DataFrame, *, k: int = 20, share: float = SHARE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest inner product that are found for each usable query, the
     query's own id left out; ties go to the smaller id. Fewer rows than k: all of them."""
@@ -135,7 +143,7 @@ def search(index: DataFrame, model: Books | None, queries: DataFrame, *, k: int
     if model is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(model)
-    asked = stash(usable(queries, id_col=id_col, vec_col=vec_col), "queries")
+    asked = stash(usable(queries, id_col=id_col, vec_col=vec_col).dropDuplicates(["id", "v"]).withColumn("ask", F.xxhash64("id", "v")), "queries")
     blocks, query_blocks = -(-index.count() // BLOCK), max(1, -(-asked.count() // QUERY_BLOCK))
     dealt = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -143,16 +151,17 @@ def search(index: DataFrame, model: Books | None, queries: DataFrame, *, k: int
     asked = asked.withColumn("query_block", dealt(query_blocks)).withColumn("block", every(blocks)).withColumnsRenamed({"id": "query_id", "v": "q"})
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
         if not left.num_rows or not right.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("ask", "query_id", "vec_id")} | {"score": pa.array([], pa.float64())})
+        left = left.take(pa.array(distinct(left["id"].to_numpy(), left["v"].to_pylist())))
         coded = left["coded_norm"].to_numpy()
         stretch = (left["norm"].to_numpy() / np.where(coded > 0, coded, 1)).astype(np.float32)
         q = matrix(right["q"].combine_chunks())
         found = block_top(shared.value, left["id"].to_numpy(), unpacked(left["v"], np.float64), unpacked(left["codes"], np.uint8), stretch, float(left["error"].to_numpy().mean()), right["query_id"].to_numpy(), q, k, share)
-        return pa.table(dict(zip(names, [pa.array(found[0].astype(np.int64)), pa.array(found[1].astype(np.int64)), pa.array(found[2].astype(np.float64))], strict=True)))
+        who = found[0].astype(np.int64)
+        return pa.table({"ask": right["ask"].take(pa.array(who)), "query_id": right["query_id"].take(pa.array(who)), "vec_id": pa.array(found[1].astype(np.int64)), "score": pa.array(found[2].astype(np.float64))})
 
     key = ["block", "query_block"]
-    found = rows.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(run, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = rows.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(run, "ask long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "ask").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -105,8 +105,24 @@ def first_shared(lists: list[np.ndarray], pairs: np.ndarray, current: int) -> np
     return ok
 
 
+def roots(pairs: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of n members that each is connected with by the pairs."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[pairs[:, 0]], label[pairs[:, 1]])
+        after = label.copy()
+        np.minimum.at(after, pairs[:, 0], least)
+        np.minimum.at(after, pairs[:, 1], least)
+        after = after[after]
+        if (after == label).all():
+            return label
+        label = after
+
+
 def links(nodes: DataFrame, *, threshold: float = THRESHOLD, tables: int = TABLES, words: int = WORDS, cap: float | None = None) -> DataFrame:
-    """(a, b), a < b: pairs of distinct vectors (node, v) found with a cosine of at least the threshold.
+    """(node, others, root) from distinct vectors (node, v, n copies): for each node of a block of a filter, the copies of
+    other nodes that are found here, and nowhere before, with a cosine of at least the threshold, and the smallest node
+    that it is connected with by these. Rows go with the nodes of blocks, never with pairs.
 
     A filter's members are dealt to blocks of about BLOCK, and each two blocks are compared by themselves, so a filter
     that a third of all vectors exceed is spread over many tasks.
@@ -125,28 +141,32 @@ def links(nodes: DataFrame, *, threshold: float = THRESHOLD, tables: int = TABLE
                 row, found = row[order], found[order]
                 ends = np.searchsorted(row, np.arange(len(x) + 1))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found, pa.int32()))
-                yield pa.RecordBatch.from_arrays([some.column(0), packed(x), lists], names=["node", "x", "filters"])
+                yield pa.RecordBatch.from_arrays([some.column(0), packed(x), lists, some.column(2)], names=["node", "x", "filters", "n"])
 
-    coded = stash(nodes.select("node", "v").mapInArrow(decode, "node long, x binary, filters array<int>"), "caps")
-    sizes = coded.select(F.explode("filters").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    sizes = stash(sizes.select("f", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "filters")
-    rows = coded.select("node", "x", "filters", F.explode("filters").alias("f")).join(sizes, "f")
+    coded = stash(nodes.select("node", "v", "n").mapInArrow(decode, "node long, x binary, filters array<int>, n long"), "caps")
+    sizes = coded.select(F.explode("filters").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    sizes = stash(sizes.select("f", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "filters")
+    rows = coded.select("node", "x", "n", "filters", F.explode("filters").alias("f")).join(sizes, "f")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("f", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "x", "filters")
+    rows = rows.select("f", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "x", "n", "filters")
     rows = rows.repartition("f", "lo", "hi").sortWithinPartitions("f", "lo", "hi", "node")
 
-    def compare(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    def compare(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         f, lo, hi = (table[c][0].as_py() for c in ("f", "lo", "hi"))
-        x, node, own = unpacked(table["x"], np.float64), table["node"].to_numpy(), table["own"].to_numpy()
+        x, node, own, n = unpacked(table["x"], np.float64), table["node"].to_numpy(), table["own"].to_numpy(), table["n"].to_numpy()
         near = x @ x.T >= threshold
         if lo != hi:
             near &= own[:, None] != own[None, :]
         pairs = np.argwhere(np.triu(near, 1))
-        if len(pairs):
-            lists = [r.values.to_numpy() for r in table["filters"]]
-            pairs = pairs[first_shared(lists, pairs, f)]
-        return node[pairs[:, 0]], node[pairs[:, 1]]  # rows are in order of node
+        if not len(pairs):
+            return node[:0], n[:0], node[:0]
+        lists = [r.values.to_numpy() for r in table["filters"]]
+        pairs = pairs[first_shared(lists, pairs, f)]  # each pair counts, and connects, in one block
+        root = roots(pairs, len(node))
+        others = np.bincount(pairs[:, 0], n[pairs[:, 1]], len(node)) + np.bincount(pairs[:, 1], n[pairs[:, 0]], len(node))
+        told = others > 0
+        return node[told], others[told].astype(np.int64), node[root[told]]  # rows are in order of node
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -154,7 +174,7 @@ def links(nodes: DataFrame, *, threshold: float = THRESHOLD, tables: int = TABLE
         def flush(table: pa.Table, ends: list[int]) -> Iterator[pa.RecordBatch]:
             found = [compare(table.slice(a, b - a)) for a, b in zip([0, *ends], ends, strict=False) if b - a > 1]
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)], names=["node", "others", "root"])
 
         for batch in batches:
             held.append(batch)
@@ -168,7 +188,7 @@ def links(nodes: DataFrame, *, threshold: float = THRESHOLD, tables: int = TABLE
             table = pa.Table.from_batches(held)
             yield from flush(table, [table.num_rows])
 
-    return rows.mapInArrow(verify, "a long, b long")
+    return rows.mapInArrow(verify, "node long, others long, root long")
 
 
 def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", **options) -> DataFrame:
@@ -181,11 +201,10 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str
     """
     rows = stash(usable(vectors, id_col=id_col, vec_col=vec_col), "vectors")
     nodes = stash(rows.groupBy("v").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n")), "nodes")
-    pairs = stash(links(nodes, **options), "links")
-    ends = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    weight = nodes.select(F.col("node").alias("b"), "n")
-    linked = ends.join(weight, "b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
-    found = nodes.join(linked, "node", "left").join(min_components(pairs), "node", "left")
+    told = stash(links(nodes, **options), "links")
+    linked = told.groupBy("node").agg(F.sum("others").alias("others"))
+    edges = told.filter("root < node").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    found = nodes.join(linked, "node", "left").join(min_components(edges), "node", "left")
     found = found.select("v", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     found = rows.join(stash(found, "classes"), "v").select("id", "n_links", "component_id").groupBy("id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     own = vectors.select(F.col(id_col).cast("long").alias("vec_id")).join(stash(found.withColumnRenamed("id", "vec_id"), "found"), "vec_id", "left")

@@ -175,7 +175,7 @@ class Encoder:
     up, and those that a worker hasn't met go to the tokenizer as one batch, which it deals to its threads. At most `most`
     segments are remembered, or those of one batch."""
 
-    def __init__(self, model: bytes, most: int = 150_000) -> None:
+    def __init__(self, model: bytes, most: int = 300_000) -> None:
         import tokenizers as T
 
         self.model = m = Model.parse(model)
@@ -186,6 +186,8 @@ class Encoder:
         self.forget()
         if self.cut:
             self.tokenizer.normalizer = T.normalizers.Sequence([])
+        # markers are turned back into spaces on whole texts: token by token that takes longer than all the rest
+        self.whole.decoder = T.decoders.Sequence([T.decoders.ByteFallback(), T.decoders.Fuse()])
         foreign = [p for p, k in zip(m.pieces, m.kinds, strict=True) if k not in (NORMAL, USER_DEFINED)]
         #: What a unigram tokenizer would take from text although the model doesn't.
         self.foreign = re.compile("|".join(map(re.escape, foreign))) if foreign and m.model_type == UNIGRAM else None
@@ -276,7 +278,9 @@ class Encoder:
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
         """The texts of whole id lists."""
         flat = ids.tolist()
-        return self.whole.decode_batch([flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], skip_special_tokens=False)
+        found = self.whole.decode_batch([flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], skip_special_tokens=False)
+        texts = [t.replace(MARK, " ") for t in found]
+        return [t[t.startswith(" ") :] for t in texts] if self.model.dummy_prefix else texts
 
 
 def model_bytes(path: str = MODEL_PATH) -> bytes:
@@ -307,7 +311,7 @@ def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", ids: str =
         def differing(theirs: list[np.ndarray], found: np.ndarray, bounds: np.ndarray) -> list[int]:
             return [i for i, x in enumerate(theirs) if not np.array_equal(x, found[bounds[i] : bounds[i + 1]])]
 
-        for batch in bounded(batches, 1 << 13, 2 << 20):
+        for batch in bounded(batches, 1 << 13, 3 << 20):
             column = batch.column(batch.schema.names.index(text_col))
             there = column.is_valid().to_numpy(zero_copy_only=False)
             texts = column.drop_null()

@@ -100,12 +100,12 @@ def reachable(steps: DataFrame, max_rounds: int = 60) -> DataFrame:
     jumps = stash(steps.select("file", "at", "next"), "jumps")
     found = jumps.filter("at = 0").select("file", "at")
     for _ in range(max_rounds):
-        ahead = found.join(jumps, ["file", "at"]).select("file", F.col("next").alias("at"))
+        ahead = found.join(jumps.hint("merge"), ["file", "at"]).select("file", F.col("next").alias("at"))
         found = stash(found.union(ahead).distinct(), "found")
         hop = jumps.select("file", F.col("at").alias("next"), F.col("next").alias("after"))
-        jumps = stash(jumps.join(hop, ["file", "next"]).select("file", "at", F.col("after").alias("next")), "jumps")
+        jumps = stash(jumps.join(hop.hint("merge"), ["file", "next"]).select("file", "at", F.col("after").alias("next")), "jumps")
         if jumps.isEmpty():
-            return found.join(steps.select("file", "at"), ["file", "at"], "left_semi")
+            return found.join(steps.select("file", "at").hint("merge"), ["file", "at"], "left_semi")
     raise RuntimeError("a chain of records is too long")
 
 
@@ -139,11 +139,11 @@ def read(spark: SparkSession, path: str, derive: dict[str, Callable[[Column], Co
     light = stash(light.withColumn("next", F.col("at") + len(MAGIC) + F.col("head_bytes") + F.col("length") + len(BREAK)), "offsets")
     kept = reachable(light.filter("next IS NOT NULL")).withColumn("real", F.lit(True))
     order = Window.partitionBy("file").orderBy("at")
-    places = light.join(kept, ["file", "at"], "left")
+    places = light.join(kept.hint("merge"), ["file", "at"], "left")
     places = places.withColumn("owner", F.last(F.when(F.col("real"), F.struct("at", "whole")), ignorenulls=True).over(order))
     places = stash(places.filter("owner IS NOT NULL AND (real OR NOT owner.whole)").select("file", "split", "within", "at", "real", "owner"), "places")
     key = ["file", "split", "within"]
-    single = found.join(places.filter("real AND owner.whole").select(*key, F.col("at").alias("offset")), key).select("file", "offset", *out)
+    single = found.join(places.filter("real AND owner.whole").select(*key, F.col("at").alias("offset")).hint("merge"), key).select("file", "offset", *out)
     needed = stash(places.filter("NOT owner.whole").select(*key, "at", F.col("owner.at").alias("offset")), "needed")
     parts = pieces(spark, path).join(needed, key).groupBy("file", "offset").agg(F.array_sort(F.collect_list(F.struct("at", "body"))).alias("parts"))  # the pieces of one record
     joined = F.aggregate(F.slice("parts", 2, F.size("parts")), F.col("parts")[0]["body"], lambda a, p: F.concat(a, F.lit(MAGIC).cast("binary"), p["body"]))
@@ -168,7 +168,7 @@ def round_trip(pages: DataFrame, **options) -> DataFrame:
     ), "records")
     full = found.filter("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("bytes").alias("full_bytes"), F.col("own_digest").alias("full_digest")).dropDuplicates(["refers_to", "full_digest"])
     full = full.withColumnRenamed("full_digest", "payload_digest")
-    out = found.join(full, ["refers_to", "payload_digest"], "left")
+    out = found.join(full.hint("merge"), ["refers_to", "payload_digest"], "left")
     revisit = F.col("record_type") == "revisit"
     return out.select(
         "page_id", F.when(revisit, F.col("full_bytes")).otherwise(F.col("bytes")).alias("payload_bytes"), "payload_digest", "record_type", "refers_to",

@@ -73,12 +73,42 @@ def test_blocks_report_each_pair_once(spark, monkeypatch):
     monkeypatch.setattr(caps, "BLOCK", 16)
     rng = np.random.default_rng(3)
     x = rng.normal(size=32) + 0.01 * rng.normal(size=(90, 32))
-    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "node long, v array<double>")
-    got = caps.links(df).collect()
-    assert len(got) == len(set(got)) == 90 * 89 // 2
+    df = spark.createDataFrame([(i, r.tolist(), 1 + i % 3) for i, r in enumerate(x)], "node long, v array<double>, n long")
+    got = caps.links(df).groupBy("node").sum("others").collect()
+    whole = sum(1 + i % 3 for i in range(90))
+    assert {r[0]: r[1] for r in got} == {i: whole - 1 - i % 3 for i in range(90)}
+    assert caps.links(df).count() < 90 * 89 // 2
 
 
-@pytest.mark.parametrize("d", [16, 64, 128, 256])
+def test_repeated_and_null_ids(spark, table):
+    x, df = table
+    index, model = ann.build(df.union(df.filter("vec_id < 300")))
+    plain = ann.search(*ann.build(df), df.filter("vec_id % 20 = 0"))
+    twice = ann.search(index, model, df.filter("vec_id % 20 = 0").union(df.filter("vec_id IN (20, 220)")).union(spark.createDataFrame([(None, [1.0] * 32, 0, 0)], SCHEMA)))
+    assert sorted(map(tuple, twice.select("query_id", "rank").collect())) == sorted(map(tuple, plain.select("query_id", "rank").collect()))
+    for q in (20, 220):
+        own = [r.vec_id for r in twice.filter(f"query_id = {q}").collect()]
+        assert len(own) == len(set(own)) == 20
+    found = caps.near_duplicates(df.union(df.filter("vec_id IN (0, 1)")).union(spark.createDataFrame([(None, [1.0] * 32, 0, 0)], SCHEMA))).collect()
+    got = {r.vec_id: r for r in found}
+    assert len(found) == df.count() + 3 and (got[0].n_links, got[0].component_id, got[0].kept) == (1, 0, True)
+    assert (got[None].n_links, got[None].component_id, got[None].kept) == (0, None, False)
+
+
+@pytest.mark.parametrize("d", [96, 768])
+def test_links_in_other_dimensions(spark, d):
+    rng = np.random.default_rng(d)
+    x = rng.normal(size=(60, d))
+    y = x + 0.3 * rng.normal(size=(60, d))
+    df = spark.createDataFrame([(i, r.tolist(), 0, 0) for i, r in enumerate(np.concatenate([x, y]))], SCHEMA)
+    z = np.concatenate([x, y]).astype(np.float32).astype(float)
+    z /= np.linalg.norm(z, axis=1)[:, None]
+    want = ((z @ z.T >= 0.95).sum(1) - 1).tolist()
+    got = {r.vec_id: r.n_links for r in caps.near_duplicates(df).collect()}
+    assert sum(want) > 20 and sum(got[i] == n for i, n in enumerate(want)) >= 118
+
+
+@pytest.mark.parametrize("d", [16, 64, 128, 256, 768])
 def test_caps_recall_at_other_dimensions(d):
     filters = caps.Filters(d)
     lists = [filters.decode(v) for v in caps.Filters.pairs(d, caps.THRESHOLD, 9, 500)]
