@@ -105,10 +105,10 @@ def means(rows, column):
     """Per episode and joint the mean and the largest of an array column."""
     x = rows.select("episode_index", F.posexplode(column).alias("joint", "x"))
     found = x.groupBy("episode_index", "joint").agg(F.avg("x").alias("mean"), F.max("x").alias("most"))
-    return found.withColumns({c: F.round(c, 4) + 0.0 for c in ("mean", "most")})
+    return found.withColumns({c: F.round(c, 9) + 0.0 for c in ("mean", "most")})
 
 
-MEANS = "SELECT episode_index, joint, round(avg(x), 4) + 0.0 AS mean, round(max(x), 4) + 0.0 AS most FROM x GROUP BY episode_index, joint"
+MEANS = "SELECT episode_index, joint, round(avg(x), 9) + 0.0 AS mean, round(max(x), 9) + 0.0 AS most FROM x GROUP BY episode_index, joint"
 CHUNKED = f"{VECTORS}, j AS (SELECT *, frame_index // 30 AS chunk_id FROM joints)"
 
 

@@ -186,10 +186,10 @@ def camera_name(spark, sf_dir):
 
 
 @query("""WITH g AS (SELECT event_id, 100 + event_id % 1900 AS w, 100 + user_id * 7 % 1000 AS h FROM events), s AS (SELECT *, least(640.0::DOUBLE / w, 480.0::DOUBLE / h) AS scale FROM g), n AS (SELECT *, floor(w * scale)::INTEGER AS nw, floor(h * scale)::INTEGER AS nh FROM s)
-SELECT event_id, nw AS new_width, nh AS new_height, (640 - nw) // 2 AS offset_x, (480 - nh) // 2 AS offset_y, round(1 - nw * nh / 307200.0::DOUBLE, 6) AS wasted FROM n""")
+SELECT event_id, nw AS new_width, nh AS new_height, (640 - nw) // 2 AS offset_x, (480 - nh) // 2 AS offset_y, round(1 - nw * nh / 307200.0::DOUBLE, 9) AS wasted FROM n""")
 def letterbox(spark, sf_dir):
     g = joints.letterbox_geometry(100 + F.col("event_id") % 1900, 100 + F.col("episode_index") * 7 % 1000, 640, 480)
-    return messages(spark, sf_dir).select("event_id", g.alias("g")).select("event_id", "g.new_width", "g.new_height", "g.offset_x", "g.offset_y", F.round("g.wasted", 6).alias("wasted"))
+    return messages(spark, sf_dir).select("event_id", g.alias("g")).select("event_id", "g.new_width", "g.new_height", "g.offset_x", "g.offset_y", F.round("g.wasted", 9).alias("wasted"))
 
 
 @query(f"""WITH {VECTORS} SELECT episode_index, count(*) AS "rows", round(avg(CASE WHEN frame_index % 5 > 0 AND frame_index % 7 > 0 THEN 1 ELSE 0 END), 6) AS accepted FROM vectors GROUP BY episode_index""")
