@@ -28,15 +28,16 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import bounded, stash
 
 HEAD, MEMBERS, TAILS, UNITS = 1024, 32, 32, 32
-WINDOW, LANES, ROUNDS, UNIT, RATE, SEED = 32, 128, 4, 500_000, 0.06, 42
+WINDOW, LANES, ROUNDS, UNIT, RATE, SEED = 32, 128, 4, 2_000_000, 0.06, 42
 #: Updates that a task makes at least of the tokens it holds, where there are few: it takes fewer lanes then.
 UPDATES = 16
 #: Pieces of the weights, which are averaged side by side.
 PIECES = 16
 #: Words whose counts every task knows, at most; those of rarer ones are joined.
 KNOWN = 50_000
-#: Tokens gathered before they are scored, and lanes they are scored in.
-GATHER, SCORE_LANES = 1_000_000, 256
+#: Tokens gathered before they are scored, and lanes they are scored in: many, as behind the other lanes' ends the longest
+#: document goes on alone.
+GATHER, SCORE_LANES = 4_000_000, 256
 BOS, CLASSES = HEAD + TAILS, HEAD // MEMBERS + TAILS
 END = ""  # no word is empty
 PARAMS = ("wx", "u", "wc", "bc", "wi", "bi")
@@ -349,7 +350,7 @@ def train(coded: DataFrame, lex: Lexicon, *, rounds: int = ROUNDS, seed: int = S
                 for ids in id_lists(batch.column(0)):
                     held.append(ids)
                     n += len(ids)
-                    if n > UNIT:
+                    if n > 2 * UNIT:
                         trainer.learn(held)
                         held, n = [], 0
             if held:
