@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import ann, caps, chat, linededup, lm, mixing, quality, sentencepieces, simhash, warc
+from cadenza.llm import alignment, ann, caps, chat, linededup, lm, mixing, quality, sentencepieces, simhash, warc
 from cadenza.llm.common import table
 
 
@@ -63,6 +63,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "log_weight", "rank", "kept")
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups, links and counts of links of two tokenizers over every document."""
+    return alignment.summaries(table(spark, sf_dir, "documents"), alignment.tokenizer_json(), alignment.model_bytes()).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_sentencepiece": op2_sentencepiece,
@@ -74,6 +79,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_lm": op9_lm,
     "op10_quality": op10_quality,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES = {
