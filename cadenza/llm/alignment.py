@@ -18,6 +18,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,14 @@ from cadenza.llm.common import bounded, fresh, stash
 from cadenza.llm.sentencepieces import BYTE, MARK, MODEL_PATH, Model, cuttable, model_bytes
 
 #: Rows and bytes of a block.
-BLOCK_ROWS, BLOCK_BYTES = 1 << 13, 8 << 20
+BLOCK_ROWS, BLOCK_BYTES = 1 << 12, 3 << 20
 #: Distinct segments that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 #: A place where neither tokenizer has a token over: a single space between characters that aren't white space.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
-Group = tuple[list[int], list[int]]
+#: Segments encoded in one string.
+TOGETHER = 500
 
 
 @lru_cache(1)
@@ -49,35 +51,30 @@ def unprintable() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-def groups_of(a_ids: list[int], a_sizes: list[int], b_ids: list[int], b_sizes: list[int]) -> tuple[list[Group], list[tuple[int, int]]]:
-    """The groups of two id lists over the same bytes, and the links (A id, B id) of all overlapping tokens."""
+def common_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ends that both token lists have, sorted, and how many tokens of A and of B there are up to each."""
+    a, b = (dict(zip(e.tolist(), range(1, len(e) + 1), strict=True)) for e in (a_ends, b_ends))
+    keys = sorted(a.keys() & b.keys())
+    return np.array(keys, np.int64), np.fromiter(map(a.__getitem__, keys), np.int64, len(keys)), np.fromiter(map(b.__getitem__, keys), np.int64, len(keys))
 
-    def ends(sizes: list[int]) -> dict[int, int]:
-        found, end = {}, 0
-        for i, n in enumerate(sizes):
-            end += n
-            found[end] = i + 1
-        return found
 
-    a_ends, b_ends = ends(a_sizes), ends(b_sizes)
-    groups, links, i, j = [], [], 0, 0
-    for end in sorted(a_ends.keys() & b_ends.keys()):
-        to_i, to_j = a_ends[end], b_ends[end]
-        groups.append((a_ids[i:to_i], b_ids[j:to_j]))
-        a_end, b_end = a_sizes[i], b_sizes[j]
-        while True:  # the token that ends first gives way to the next of its list
-            links.append((a_ids[i], b_ids[j]))
-            step_a, step_b = a_end <= b_end, b_end <= a_end
-            i, j = i + step_a, j + step_b
-            if i == to_i or j == to_j:
-                break
-            a_end, b_end = a_end + a_sizes[i] * step_a, b_end + b_sizes[j] * step_b
-        i, j = to_i, to_j
-    return groups, links
+def links_of(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The links of all slices: between two neighbouring ends of either list lie the bytes that one token of A and one of B
+    share. (end, index in A, index in B), by end."""
+    there = np.zeros(int(a_ends[-1]) + 1 if len(a_ends) else 0, bool)
+    there[a_ends] = there[b_ends] = True
+    every = np.flatnonzero(there)
+    return every, np.searchsorted(a_ends, every), np.searchsorted(b_ends, every)
 
 
-def written(groups: list[Group]) -> str:
-    return ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
+def written(a: pa.Array, b: pa.Array, a_number: np.ndarray, b_number: np.ndarray, groups: np.ndarray) -> pa.Array:
+    """Groups as strings: the ids of A and B (strings), how many of each a group has, and how many groups a string has."""
+    a, b = (pc.binary_join(of_lengths(ids, number), ",") for ids, number in ((a, a_number), (b, b_number)))
+    return pc.binary_join(of_lengths(pc.binary_join_element_wise(a, b, "|"), groups), ";")
+
+
+def of_lengths(values: pa.Array, number: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(number)]), pa.int32()), values)
 
 
 def segments(text: str) -> list[str]:
@@ -99,11 +96,16 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         code = unprintable()
         special = {t.content for t in self.a.get_added_tokens_decoder().values()}
-        self.a_bytes = {i: t.encode() if t in special else bytes(code[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for t, i in vocabulary.items():
+            self.a_bytes[i] = t.encode() if t in special else bytes(code[c] for c in t)
         parsed = Model.parse(model)
         if not (cuttable(parsed) and parsed.dummy_prefix and not parsed.squeeze and not parsed.charsmap):
             raise ValueError("texts can't be cut at spaces for this model")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode() for p, k in zip(parsed.pieces, parsed.kinds, strict=True)]
+        self.sizes_of = [np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes)]
+        self.names_of = [pa.array(map(str, range(len(x))), pa.string()) for x in (self.a_bytes, self.b_bytes)]
         self.most = most
         self.forget()
 
@@ -113,13 +115,34 @@ class Aligner:
         self.strings: list[str] = []
         self.links, self.ends = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
-    def one(self, segment: str, a_ids: list[int], b_ids: list[int]) -> tuple[tuple[int, int, int, int], str, list[tuple[int, int]]]:
-        a, b = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        whole = b" " + segment.encode()
-        if b"".join(a) != whole or b"".join(b) != whole:
-            return (-1, -1, -1, -1), "", []
-        groups, links = groups_of(a_ids, list(map(len, a)), b_ids, list(map(len, b)))
-        return (len(a), len(b), len(groups), len(links)), written(groups), links
+    def aligned(self, units: list[list[str]]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """What is remembered of all segments of the units, one after the other: sizes, strings, all links. A unit's segments are
+        encoded in one string; where that doesn't give its bytes back, they are taken one by one."""
+        texts = [" ".join(u) for u in units]
+        whole = [b" " + t.encode() for t in texts]
+        ids = [[e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)], self.b.encode(texts, num_threads=1)]
+        good = [b"".join(map(self.a_bytes.__getitem__, x)) == b"".join(map(self.b_bytes.__getitem__, y)) == w for x, y, w in zip(*ids, whole, strict=True)]
+        if not all(good):
+            if all(g or len(u) == 1 for g, u in zip(good, units, strict=True)):
+                kept = [u for g, u in zip(good, units, strict=True) if g]
+                some, words, links = self.aligned(kept) if kept else (np.zeros((0, 4), np.int64), [], np.zeros(0, np.int64))
+                there = np.repeat(good, list(map(len, units)))
+                sizes, rest = np.full((len(there), 4), -1), iter(words)
+                sizes[there] = some
+                return sizes, [next(rest) if t else "" for t in there], links
+            return self.aligned([p for g, u in zip(good, units, strict=True) for p in ([u] if g else [[s] for s in u])])
+        flat = [np.fromiter(chain.from_iterable(x), np.int64) for x in ids]
+        ends = [np.cumsum(n[x]) for n, x in zip(self.sizes_of, flat, strict=True)]
+        last = np.cumsum([1 + len(s.encode()) for u in units for s in u])
+        common, *upto = common_ends(*ends)
+        every, *index = links_of(*ends)
+        if not np.isin(last, common).all():
+            raise ValueError("a token reaches over a space between words")
+        until = [np.searchsorted(x, last, "right") for x in (*ends, common, every)]
+        sizes = np.stack([np.diff(u, prepend=0) for u in until], axis=1)
+        ids = [names.take(pa.array(x)) for names, x in zip(self.names_of, flat, strict=True)]
+        strings = written(*ids, *(np.diff(u, prepend=0) for u in upto), sizes[:, 2]).to_pylist()
+        return sizes, strings, flat[0][index[0]] << 32 | flat[1][index[1]]
 
     def places(self, names: list[str]) -> np.ndarray:
         """Of each of the distinct segments, its place among the remembered ones."""
@@ -127,16 +150,16 @@ class Aligner:
         if len(self.known) + len(new) > self.most:
             self.forget()
             new = names
-        a = [e.ids for e in self.a.encode_batch_fast([f" {s}" for s in new], add_special_tokens=False)]
-        b = self.b.encode(new, num_threads=1)
-        found = [self.one(s, x, y) for s, x, y in zip(new, a, b, strict=True)]
         if new:
-            self.sizes = np.concatenate([self.sizes, np.array([f[0] for f in found], np.int64)])
-            self.strings += [f[1] for f in found]
-            flat = np.array([x << 32 | y for f in found for x, y in f[2]], np.int64)
-            self.links = np.concatenate([self.links, flat])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(f[2]) for f in found])])
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            odd = [s == "" or s != s.strip() for s in new]
+            plain = [s for s, o in zip(new, odd, strict=True) if not o]
+            units = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)] + [[s] for s, o in zip(new, odd, strict=True) if o]
+            sizes, strings, links = self.aligned(units)
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.strings += strings
+            self.links = np.concatenate([self.links, links])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.maximum(0, sizes[:, 3]))])
+            self.known.update(zip(chain.from_iterable(units), range(len(self.known), len(self.known) + len(new)), strict=True))
         return np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
 
 
@@ -288,4 +311,4 @@ def summaries(docs: DataFrame, tokenizer: str, model: bytes, *, id_col: str = "d
     return own.groupBy("block").cogroup(counted.groupBy("of")).applyInArrow(score, schema)
 
 
-__all__ = ["MODEL_PATH", "TOKENIZER_PATH", "Aligner", "aligned", "blocks", "groups_of", "model_bytes", "pair_counts", "segments", "summaries", "tokenizer_json", "written"]
+__all__ = ["MODEL_PATH", "TOKENIZER_PATH", "Aligner", "aligned", "blocks", "common_ends", "links_of", "model_bytes", "pair_counts", "segments", "summaries", "tokenizer_json", "written"]

@@ -1,6 +1,8 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -81,11 +83,22 @@ def brute(texts):
     return rows
 
 
-def test_groups_by_hand():
-    groups, links = alignment.groups_of([1, 2, 3], [2, 3, 1], [7, 8], [4, 2])
-    assert groups == [([1, 2, 3], [7, 8])] and links == [(1, 7), (2, 7), (2, 8), (3, 8)]
-    groups, links = alignment.groups_of([1, 2], [2, 2], [7, 8, 9], [2, 1, 1])
-    assert alignment.written(groups) == "1|7;2|8,9" and links == [(1, 7), (2, 8), (2, 9)]
+def test_groups_and_links_by_hand():
+    a, b = np.array([2, 5, 6]), np.array([4, 6])
+    assert [x.tolist() for x in alignment.common_ends(a, b)] == [[6], [3], [2]]
+    assert [x.tolist() for x in alignment.links_of(a, b)] == [[2, 4, 5, 6], [0, 1, 1, 2], [0, 0, 1, 1]]
+    a, b = np.array([2, 4]), np.array([2, 3, 4])
+    assert [x.tolist() for x in alignment.common_ends(a, b)] == [[2, 4], [1, 2], [1, 3]]
+    assert alignment.written(pa.array(["1", "2"]), pa.array(["7", "8", "9"]), np.array([1, 1]), np.array([1, 2]), np.array([2])).to_pylist() == ["1|7;2|8,9"]
+
+
+def test_units_with_lost_bytes():
+    one = alignment.Aligner(alignment.tokenizer_json(), alignment.model_bytes())
+    words = [f"w{i}" for i in range(700)] + ["a▁b", " ", "x"]
+    at = one.places(words)
+    sizes = one.sizes[at]
+    assert (sizes[-3] == -1).all() and (np.delete(sizes, -3, 0) > 0).all()
+    assert one.places(words[::-1]).tolist() == one.places(words).tolist()[::-1]
 
 
 @pytest.mark.parametrize("block", [(1 << 13, 8 << 20), (7, 4_000)])
@@ -113,5 +126,5 @@ def test_groups_of_rows_and_empty_table(spark):
     model, tokenizer = alignment.model_bytes(), alignment.tokenizer_json()
     docs = spark.createDataFrame([(1, "Hello  world", "g"), (2, None, None), (3, "▁", None)], "doc_id long, text string, groups string")
     got = {r.doc_id: r for r in alignment.aligned(docs, tokenizer, model).collect()}
-    assert alignment.written([(g.a, g.b) for g in got[1]._groups]) and got[1].groups == "g" and got[2]._groups is None and got[3]._groups is None
+    assert [i for g in got[1]._groups for i in g.b] == sentencepiece.SentencePieceProcessor(model_file=alignment.MODEL_PATH).encode("Hello  world") and got[1].groups == "g" and got[2]._groups is None and got[3]._groups is None
     assert alignment.summaries(docs.limit(0), tokenizer, model).count() == 0
