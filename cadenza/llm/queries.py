@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import alignment, ann, caps, chat, linededup, lm, mixing, quality, sentencepieces, simhash, warc
+from cadenza.llm import alignment, ann, caps, chat, lexical, linededup, lm, mixing, privacy, quality, sentencepieces, simhash, warc
 from cadenza.llm.common import table
 
 
@@ -63,6 +63,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "log_weight", "rank", "kept")
 
 
+def op11_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, and the terms that give it away."""
+    return privacy.report(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    found = lexical.search(lexical.index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=50)
+    return found.select(F.col("query").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups, links and counts of links of two tokenizers over every document."""
     return alignment.summaries(table(spark, sf_dir, "documents"), alignment.tokenizer_json(), alignment.model_bytes()).withColumnRenamed("id", "doc_id")
@@ -79,9 +90,12 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_lm": op9_lm,
     "op10_quality": op10_quality,
+    "op11_privacy": op11_privacy,
+    "op12_lexical": op12_lexical,
     "op13_alignment": op13_alignment,
 }
 
 ORACLES = {
     "op6_mixing": mixing.SQL,
+    "op12_lexical": lexical.SQL,
 }
