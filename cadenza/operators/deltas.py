@@ -128,14 +128,14 @@ def deadband(frames: DataFrame, threshold: float, value: str = "action") -> Data
 
 def smoothness(frames: DataFrame, *, window: int = 100, value: str = "action") -> DataFrame:
     """frames with step (distance from the frame before), and over the last `window` steps their mean, population deviation
-    and maximum, the mean and maximum of step_change (the change of the step), nulls until there are two steps; with a
-    column clamped (boolean) also clamped_pct so far."""
+    and maximum, the mean and maximum of step_change (the change of the step), nulls until there are two steps; step_count,
+    the frames so far; with a column clamped (boolean) also clamped_pct so far."""
     order = of_episode()
     rows = frames.withColumn("step", norm(minus(value, F.lag(value).over(order)))).withColumn("step_change", F.abs(F.col("step") - F.lag("step").over(order)))
     recent = order.rowsBetween(-(window - 1), 0)
     two = F.count("step").over(recent) >= 2
     stats = {"step_mean": F.avg("step"), "step_std": F.stddev_pop("step"), "step_max": F.max("step"), "change_mean": F.avg("step_change"), "change_max": F.max("step_change")}
-    rows = rows.withColumns({c: F.when(two, a.over(recent)) for c, a in stats.items()})
+    rows = rows.withColumns({c: F.when(two, a.over(recent)) for c, a in stats.items()}).withColumn("step_count", F.row_number().over(order).cast("long"))
     if "clamped" in frames.columns:
         rows = rows.withColumn("clamped_pct", 100 * F.avg(F.col("clamped").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return rows

@@ -172,11 +172,11 @@ def deadband(spark, sf_dir):
 
 
 @query(f"""WITH {VECTORS}, d AS (SELECT episode_index, frame_index, a - lag(a) OVER (PARTITION BY episode_index, joint ORDER BY frame_index) AS d FROM joints), s AS (SELECT episode_index, frame_index, sqrt(sum(d * d)) AS step FROM d GROUP BY ALL),
-c AS (SELECT *, abs(step - lag(step) OVER (PARTITION BY episode_index ORDER BY frame_index)) AS ch FROM s), r AS (SELECT episode_index, frame_index, count(step) OVER w AS n, avg(step) OVER w AS m, stddev_pop(step) OVER w AS sd, max(step) OVER w AS mx, avg(ch) OVER w AS cm, max(ch) OVER w AS cx FROM c WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index ROWS 99 PRECEDING))
-SELECT episode_index, frame_index, round(m, 6) AS step_mean, round(sd, 5) AS step_std, round(mx, 6) AS step_max, round(cm, 6) AS change_mean, round(cx, 6) AS change_max FROM r WHERE n >= 2 AND frame_index % 50 = 7""")
+c AS (SELECT *, abs(step - lag(step) OVER (PARTITION BY episode_index ORDER BY frame_index)) AS ch FROM s), r AS (SELECT episode_index, frame_index, count(step) OVER w AS n, avg(step) OVER w AS m, stddev_pop(step) OVER w AS sd, max(step) OVER w AS mx, avg(ch) OVER w AS cm, max(ch) OVER w AS cx, row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) AS step_count FROM c WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index ROWS 99 PRECEDING))
+SELECT episode_index, frame_index, round(m, 6) AS step_mean, round(sd, 5) AS step_std, round(mx, 6) AS step_max, round(cm, 6) AS change_mean, round(cx, 6) AS change_max, step_count FROM r WHERE n >= 2""")
 def smoothness(spark, sf_dir):
-    rows = deltas.smoothness(vector_frames(spark, sf_dir)).filter("step_mean IS NOT NULL AND frame_index % 50 = 7")
-    return rounded(rows, "step_mean", "step_max", "change_mean", "change_max").select("episode_index", "frame_index", "step_mean", F.round("step_std", 5).alias("step_std"), "step_max", "change_mean", "change_max")
+    rows = deltas.smoothness(vector_frames(spark, sf_dir)).filter("step_mean IS NOT NULL")
+    return rounded(rows, "step_mean", "step_max", "change_mean", "change_max").select("episode_index", "frame_index", "step_mean", F.round("step_std", 5).alias("step_std"), "step_max", "change_mean", "change_max", "step_count")
 
 
 @query(f"WITH {VECTORS} SELECT episode_index, frame_index, round(lag(a) OVER (PARTITION BY episode_index ORDER BY frame_index), 6) AS first, CASE WHEN frame_index > 0 THEN 0.0::DOUBLE END AS lacking FROM joints WHERE joint = 0")

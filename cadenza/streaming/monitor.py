@@ -1,25 +1,27 @@
-"""Streaming operators. Inputs are streaming (or static) DataFrames with an event time column `ts`; late rows are dropped
-behind the watermark. Windows, sessions and deduplication are Spark's own; what needs order within a key (nearest match,
-latest values, gaps) keeps a small state for each key."""
+"""Streaming operators. Inputs are streaming DataFrames with an event time column `ts`; late rows are dropped behind the
+watermark. Windows and sessions are Spark's own and work on static tables, too; what needs order within a key (nearest
+match, latest values, gaps, smoothness, throttling) are the processors of `ordered`. Their state ends when a key has been
+silent for `idle` seconds, and they need `ordered.state_store(spark)`."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from cadenza.streaming import ordered
+
+EPISODE = {"episode_index": "long"}
 
 
 def window_rates(messages: DataFrame, *, seconds: int = 10, watermark: str = "10 seconds", expected: dict[str, float] | None = None) -> DataFrame:
-    """(start, episode_index, topic, messages, fps, slow): the rate in each window; slow if it is below two thirds of the
+    """(window, start, episode_index, topic, messages, fps, slow): the rate in each window; slow if it is below two thirds of the
     topic's expected one."""
     out = messages.withWatermark("ts", watermark).groupBy(F.window("ts", f"{seconds} seconds").alias("w"), "episode_index", "topic").agg(F.count(F.lit(1)).alias("messages"))
     rate = F.col("messages") / seconds
     due = F.coalesce(*(F.when(F.col("topic") == t, F.lit(float(f))) for t, f in (expected or {}).items()), F.lit(None).cast("double"))
-    return out.select(F.col("w.start").alias("start"), "episode_index", "topic", "messages", rate.alias("fps"), F.coalesce(rate < due * 2 / 3, F.lit(False)).alias("slow"))
+    return out.select(F.col("w").alias("window"), F.col("w.start").alias("start"), "episode_index", "topic", "messages", rate.alias("fps"), F.coalesce(rate < due * 2 / 3, F.lit(False)).alias("slow"))
 
 
 def episode_ends(messages: DataFrame, *, truth_gap: float = 1.0, grace: float = 1.5, watermark: str = "5 seconds") -> DataFrame:
@@ -32,130 +34,77 @@ def episode_ends(messages: DataFrame, *, truth_gap: float = 1.0, grace: float =
     )
 
 
-def throttled(frames: DataFrame, *, watermark: str = "5 seconds") -> DataFrame:
-    """The first frame of each camera in each calendar second. frames: (episode_index, camera, ts, ...)."""
-    rows = frames.withColumn("second", F.date_trunc("second", "ts")).withWatermark("ts", watermark)
-    return rows.dropDuplicatesWithinWatermark(["episode_index", "camera", "second"]).drop("second")
-
-
-def seconds(rows: pd.DataFrame) -> list[float]:
-    return (rows["ts"].astype("int64") / 1e9 if str(rows["ts"].dtype).endswith("[ns]") else rows["ts"].astype("datetime64[ns]").astype("int64") / 1e9).tolist()
-
-
-def sorted_batch(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    parts = list(pdfs)
-    return pd.concat(parts, ignore_index=True).sort_values("ts", kind="stable") if parts else pd.DataFrame()
+def bottlenecks(messages: DataFrame, expected: dict[str, float], *, seconds: int = 10, watermark: str = "10 seconds") -> DataFrame:
+    """(start, episode_index, slow_cameras, bottleneck, fps): of each window in which an episode has messages of any of the
+    expected topics, how many of them are below two thirds of their expected rate, and the slowest of these; one without
+    messages has rate 0. Nulls where none is slow. Equal rates go by name."""
+    rates = window_rates(messages, seconds=seconds, watermark=watermark, expected=expected)
+    # other topics are left out here, not before: they move the watermark, too
+    seen = F.collect_list(F.when(F.col("topic").isin(*expected), F.struct("fps", "topic", "slow")))
+    per_window = rates.groupBy("window", "episode_index").agg(seen.alias("seen")).filter(F.size("seen") > 0)
+    silent = F.filter(F.array(*map(F.lit, sorted(expected))), lambda t: ~F.array_contains(F.transform("seen", lambda s: s["topic"]), t))
+    slow = F.concat(F.transform(silent, lambda t: F.struct(F.lit(0.0).alias("fps"), t.alias("topic"))), F.transform(F.filter("seen", lambda s: s["slow"]), lambda s: F.struct(s["fps"].alias("fps"), s["topic"].alias("topic"))))
+    worst = F.array_min("slow")
+    return per_window.withColumn("slow", slow).select(F.col("window.start").alias("start"), "episode_index", F.size("slow").alias("slow_cameras"), worst["topic"].alias("bottleneck"), worst["fps"].alias("fps"))
+
+
+def throttled(frames: DataFrame, *, every: float = 1.0, most: int | None = None, payload: str | None = None, idle: float = 60.0, watermark: str = "5 seconds") -> DataFrame:
+    """(episode_index, camera, ts, payload): frames that come `every` seconds or more after the last one kept, `most` of each
+    camera of an episode at most. payload: a string column that goes with them."""
+    keys = EPISODE | {"camera": "string"}
+    side = F.lit("") if payload is None else F.col(payload).cast("string")
+    found = ordered.processed(frames, ordered.Throttle([*keys, "at", "payload"], idle, every, most), keys, "at long, payload string", side=side, value=F.array().cast("array<double>"), watermark=watermark)
+    found = found.select(*keys, F.timestamp_micros("at").alias("ts"), "payload")
+    return found if payload else found.drop("payload")
+
+
+def gap_alerts(messages: DataFrame, *, least: float = 0.5, factor: float = 5.0, idle: float = 60.0, watermark: str = "5 seconds") -> DataFrame:
+    """(episode_index, topic, kind, start, end, gap): kind 'silent' as soon as the watermark tells that a topic has been silent
+    for longer than the larger of `least` and `factor` times the median interval so far, whether it speaks again or not;
+    kind 'gap' when it does, with the whole gap. messages: (episode_index, topic, ts)."""
+    keys = EPISODE | {"topic": "string"}
+    processor = ordered.Gaps([*keys, "kind", "start", "end", "gap"], idle, least, factor)
+    found = ordered.processed(messages, processor, keys, "kind string, start long, end long, gap double", side=F.lit(""), value=F.array().cast("array<double>"), watermark=watermark)
+    return found.select(*keys, "kind", F.timestamp_micros("start").alias("start"), F.timestamp_micros("end").alias("end"), "gap")
+
+
+def latest_sync(messages: DataFrame, *, sides: tuple[str, ...] = ("obs", "raw", "cmd"), idle: float = 60.0, watermark: str = "5 seconds", keep_first: bool = True) -> DataFrame:
+    """(episode_index, ts, one column a side): a row whenever all sides have a value; it takes the latest of each, which
+    are used up by it, but for the first side's with keep_first. messages: (episode_index, side, ts, value), values numbers
+    or vectors; a null or NaN takes a side's value away."""
+    single = messages.schema["value"].dataType.typeName() != "array"
+    processor = ordered.Latest(["episode_index", "at", *sides], idle, sides, keep_first)
+    columns = ", ".join(["at long", *(f"`{s}` array<double>" for s in sides)])
+    found = ordered.processed(messages, processor, EPISODE, columns, side=F.col("side"), value=ordered.vector(messages, "value"), watermark=watermark)
+    return found.select("episode_index", F.timestamp_micros("at").alias("ts"), *((F.get(F.col(f"`{s}`"), F.lit(0)) if single else F.col(f"`{s}`")).alias(s) for s in sides))
 
 
-def gap_alerts(messages: DataFrame, *, least: float = 0.5, factor: float = 5.0, watermark: str = "5 seconds") -> DataFrame:
-    """(episode_index, topic, ts, gap): messages that come later than the larger of `least` and `factor` times the mean
-    interval so far behind the one before. The state is a time, a number and a sum."""
+def fresh_sets(messages: DataFrame, sensors: tuple[str, ...], *, idle: float = 60.0, watermark: str = "5 seconds") -> DataFrame:
+    """(episode_index, ts): the times at which every required sensor has a newer message than at the time before."""
+    some = messages.select("episode_index", F.when(F.col("topic").isin(*sensors), F.col("topic")).alias("side"), "ts", F.lit(1.0).alias("value"))
+    return latest_sync(some, sides=sensors, idle=idle, watermark=watermark, keep_first=False).select("episode_index", "ts")
 
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, n, total = state.get if state.exists else (None, 0, 0.0)
-        rows = sorted_batch(pdfs)
-        out: list[tuple[Any, ...]] = []
-        for stamp, at in zip(rows["ts"], seconds(rows), strict=True) if len(rows) else ():
-            if last is not None and at >= last:
-                gap = at - last
-                if n and gap > max(least, factor * total / n):
-                    out.append((*key, stamp, gap))
-                n, total = n + 1, total + gap
-            last = at if last is None else max(last, at)
-        state.update((last, n, total))
-        yield pd.DataFrame(out, columns=["episode_index", "topic", "ts", "gap"])
 
-    rows = messages.withWatermark("ts", watermark).select("episode_index", "topic", "ts")
-    return rows.groupBy("episode_index", "topic").applyInPandasWithState(step, "episode_index long, topic string, ts timestamp, gap double", "last double, n long, total double", "append", GroupStateTimeout.NoTimeout)
+def nearest_match(messages: DataFrame, *, tolerance: float = 2.5, idle: float = 60.0, watermark: str = "5 seconds") -> DataFrame:
+    """(episode_index, ts, value, nearest): for each message of side 'frame' the value of side 'sample' nearest in time within
+    the tolerance (seconds), the earlier of two, null if there is none. messages: (episode_index, side, ts, value)."""
+    processor = ordered.Nearest(["episode_index", "at", "value", "nearest"], idle, tolerance)
+    found = ordered.processed(messages, processor, EPISODE, "at long, value double, nearest double", side=F.col("side"), value=ordered.vector(messages, "value"), watermark=watermark)
+    return found.select("episode_index", F.timestamp_micros("at").alias("ts"), "value", F.nanvl("nearest", F.lit(None).cast("double")).alias("nearest"))
 
 
-def latest_sync(messages: DataFrame, *, sides: tuple[str, ...] = ("obs", "raw", "cmd"), watermark: str = "5 seconds", keep_first: bool = True) -> DataFrame:
-    """(episode_index, ts, one column a side): a row whenever all sides have a value; it takes the latest of each, which
-    are used up by it, but for the first side's with keep_first. messages: (episode_index, side, ts, value)."""
-
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = list(state.get) if state.exists else [None] * len(sides)
-        out: list[tuple[Any, ...]] = []
-        rows = sorted_batch(pdfs)
-        for stamp, side, value in zip(rows["ts"], rows["side"], rows["value"], strict=True) if len(rows) else ():
-            if side in sides:
-                now[sides.index(side)] = float(value)
-                if all(v is not None and v == v for v in now):
-                    out.append((*key, stamp, *now))
-                    now = [v if keep_first and i == 0 else None for i, v in enumerate(now)]
-        state.update(tuple(now))
-        yield pd.DataFrame(out, columns=["episode_index", "ts", *sides])
-
-    columns = ", ".join(f"{s} double" for s in sides)
-    rows = messages.withWatermark("ts", watermark).select("episode_index", "side", "ts", "value")
-    return rows.groupBy("episode_index").applyInPandasWithState(step, f"episode_index long, ts timestamp, {columns}", columns, "append", GroupStateTimeout.NoTimeout)
-
-
-def fresh_sets(messages: DataFrame, sensors: tuple[str, ...], *, watermark: str = "5 seconds") -> DataFrame:
-    """(episode_index, ts): the times at which every required sensor has a newer message than at the time before."""
-    some = messages.filter(F.col("topic").isin(*sensors)).select("episode_index", F.col("topic").alias("side"), "ts", F.lit(1.0).alias("value"))
-    rows = latest_sync(some, sides=sensors, watermark=watermark, keep_first=False)
-    return rows.select("episode_index", "ts")
+SMOOTHNESS = ["step_mean double", "step_std double", "step_max double", "change_mean double", "change_max double", "step_count long", "clamped_pct double"]
 
 
-def nearest_match(messages: DataFrame, *, tolerance: float = 2.5, watermark: str = "5 seconds") -> DataFrame:
-    """(episode_index, ts, value, nearest): for each message of side 'frame' the value of side 'sample' nearest in time within
-    the tolerance (seconds), the earlier of two. A frame waits until a sample or frame later than the tolerance has come, so
-    the state holds what lies within two tolerances; what still waits goes out when the watermark passes it."""
-
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        frames, values, times, samples = ([list(x) for x in state.get] if state.exists else [[], [], [], []])
-        done: list[tuple[Any, ...]] = []
-        if not state.hasTimedOut:
-            rows = sorted_batch(pdfs)
-            for at, side, value in zip(seconds(rows), rows["side"], rows["value"], strict=True) if len(rows) else ():
-                (frames if side == "frame" else times).append(at)
-                (values if side == "frame" else samples).append(float(value))
-        pairs = sorted(zip(times, samples, strict=True))
-        newest = max([*frames, *times], default=0.0)
-        waiting: list[tuple[float, float]] = []
-        for at, value in sorted(zip(frames, values, strict=True)):
-            if at + tolerance < newest or state.hasTimedOut:
-                near = min(((abs(t - at), t, s) for t, s in pairs if abs(t - at) <= tolerance), default=None)
-                done.append((*key, pd.Timestamp(round(at * 1e9)), value, None if near is None else near[2]))
-            else:
-                waiting.append((at, value))
-        oldest = min((at for at, _ in waiting), default=newest) - tolerance
-        pairs = [p for p in pairs if p[0] >= oldest]
-        if state.hasTimedOut:
-            state.remove()
-        else:
-            state.update(([a for a, _ in waiting], [v for _, v in waiting], [t for t, _ in pairs], [s for _, s in pairs]))
-            state.setTimeoutTimestamp(max(int((newest + tolerance) * 1000), state.getCurrentWatermarkMs() + 1))
-        out = pd.DataFrame(done, columns=["episode_index", "ts", "value", "nearest"])
-        out["nearest"] = out["nearest"].astype("float64")
-        yield out
-
-    rows = messages.withWatermark("ts", watermark).select("episode_index", "side", "ts", "value")
-    kept = "frames array<double>, vals array<double>, times array<double>, samples array<double>"
-    return rows.groupBy("episode_index").applyInPandasWithState(step, "episode_index long, ts timestamp, value double, nearest double", kept, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def rolling_smoothness(actions: DataFrame, *, window: int = 100, watermark: str = "5 seconds") -> DataFrame:
-    """(episode_index, ts, step_mean, step_std, step_max): over the last `window` steps of each episode's actions (episode_index,
-    ts, value), from the second step on. The state is the last value and the steps."""
-
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, steps = (state.get[0], list(state.get[1])) if state.exists else (None, [])
-        out: list[tuple[Any, ...]] = []
-        rows = sorted_batch(pdfs)
-        for stamp, value in zip(rows["ts"], rows["value"], strict=True) if len(rows) else ():
-            if last is not None:
-                steps = [*steps, abs(float(value) - last)][-window:]
-                if len(steps) > 1:
-                    s = pd.Series(steps)
-                    out.append((*key, stamp, s.mean(), s.std(ddof=0), s.max()))
-            last = float(value)
-        state.update((last, steps))
-        yield pd.DataFrame(out, columns=["episode_index", "ts", "step_mean", "step_std", "step_max"])
-
-    rows = actions.withWatermark("ts", watermark).select("episode_index", "ts", "value")
-    return rows.groupBy("episode_index").applyInPandasWithState(step, "episode_index long, ts timestamp, step_mean double, step_std double, step_max double", "last double, steps array<double>", "append", GroupStateTimeout.NoTimeout)
+def rolling_smoothness(actions: DataFrame, *, window: int = 100, idle: float = 60.0, watermark: str = "5 seconds") -> DataFrame:
+    """(episode_index, ts, step_mean, step_std, step_max, change_mean, change_max, step_count, clamped_pct): over the last
+    `window` steps of each episode's actions (episode_index, ts, value: a number or vector; clamped: boolean, if there is
+    one), from the second step on; the batch twin is deltas.smoothness."""
+    names = [c.split()[0] for c in SMOOTHNESS]
+    processor = ordered.Smoothness(["episode_index", "at", *names], idle, window)
+    side = F.when(F.col("clamped"), "clamped").otherwise("") if "clamped" in actions.columns else F.lit("")
+    found = ordered.processed(actions, processor, EPISODE, ", ".join(["at long", *SMOOTHNESS]), side=side, value=ordered.vector(actions, "value"), watermark=watermark)
+    return found.select("episode_index", F.timestamp_micros("at").alias("ts"), *names)
 
 
 def convert_new(messages: DataFrame, path: str, checkpoint: str, convert: Any) -> Any:
