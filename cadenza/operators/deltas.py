@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.operators.vectors import clip, minus, norm, plus
+from cadenza.scan import BLOCK, Segments, overlapping
 
 #: Fixed value: the least deviation that statistics give.
 LEAST_STD = 1e-6
@@ -110,35 +112,54 @@ def limit_delta(action: Column, observed: Column, most: float | None) -> Column:
 
 
 def deadband(frames: DataFrame, threshold: float, value: str = "action") -> DataFrame:
-    """frames with published: per joint the value last published, until the command has moved from it by the threshold.
-
-    Each value depends on what was published before, so an episode's joint is folded in order: one array of doubles for
-    each joint of an episode, as long as the episode."""
-    rows = frames.select("episode_index", "frame_index", F.posexplode(value).alias("joint", "x"))
-    lists = rows.groupBy("episode_index", "joint").agg(F.array_sort(F.collect_list(F.struct("frame_index", F.col("x").cast("double").alias("x")))).alias("s"))
-    start = F.struct(F.lit(None).cast("double").alias("last"), F.array().cast("array<double>").alias("out"))
-
-    def step(state: Column, e: Column) -> Column:
-        now = F.when(state["last"].isNull() | (F.abs(e["x"] - state["last"]) >= threshold), e["x"]).otherwise(state["last"])
-        return F.struct(now.alias("last"), F.concat(state["out"], F.array(now)).alias("out"))
-
-    folded = lists.select("episode_index", "joint", F.explode(F.arrays_zip(F.transform("s", lambda e: e["frame_index"]).alias("f"), F.aggregate("s", start, step)["out"].alias("o"))).alias("e"))
-    return folded.select("episode_index", F.col("e.f").alias("frame_index"), "joint", F.col("e.o").alias("published"))
-
-
-def smoothness(frames: DataFrame, *, window: int = 100, value: str = "action") -> DataFrame:
+    """(episode_index, frame_index, joint, published): per joint the value last published, until the command has moved from it
+    by the threshold. Each value depends on what was published before, so an episode passes by in order, in one task, and
+    one value a joint is held. A null or NaN command moves nothing."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, last = None, []
+        for batch in batches:
+            out = []
+            for episode, command in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if episode != now:
+                    now, last = episode, []
+                command = command or []
+                last += [None] * (len(command) - len(last))
+                for j, x in enumerate(command):
+                    if x is not None and (last[j] is None or abs(x - last[j]) >= threshold):
+                        last[j] = x
+                out.append(last[: len(command)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.float64()))], names=["episode_index", "frame_index", "out"])
+
+    rows = frames.select(F.col("episode_index").cast("long"), F.col("frame_index").cast("long"), F.col(value).cast("array<double>").alias("x"))
+    rows = rows.repartition("episode_index").sortWithinPartitions("episode_index", "frame_index")
+    return rows.mapInArrow(fold, "episode_index long, frame_index long, out array<double>").select("episode_index", "frame_index", F.posexplode("out").alias("joint", "published"))
+
+
+def smoothness(frames: DataFrame, *, window: int = 100, value: str = "action", segmented: bool = False, block: int = BLOCK) -> DataFrame:
     """frames with step (distance from the frame before), and over the last `window` steps their mean, population deviation
     and maximum, the mean and maximum of step_change (the change of the step), nulls until there are two steps; step_count,
-    the frames so far; with a column clamped (boolean) also clamped_pct so far."""
-    order = of_episode()
-    rows = frames.withColumn("step", norm(minus(value, F.lag(value).over(order)))).withColumn("step_change", F.abs(F.col("step") - F.lag("step").over(order)))
+    the frames so far; with a column clamped (boolean) also clamped_pct so far. segmented: for episodes too long for one
+    task, blocks of them that overlap by a window."""
+    clamped = "clamped" in frames.columns
+    if segmented:
+        sums = {"step_count": ("sum", F.lit(1).cast("long"))} | ({"clamped_count": ("sum", F.coalesce(F.col("clamped"), F.lit(False)).cast("int"))} if clamped else {})
+        rows = Segments(frames, "episode_index", F.col("frame_index")).running(**sums).rows
+        rows = overlapping(rows, "step_count", window + 1, block=block)
+        order = Window.partitionBy("episode_index", "block").orderBy("frame_index")
+    else:
+        order = of_episode()
+        upto = order.rowsBetween(Window.unboundedPreceding, 0)
+        rows = frames.withColumn("step_count", F.row_number().over(order).cast("long"))
+        rows = rows.withColumn("clamped_count", F.sum(F.coalesce(F.col("clamped"), F.lit(False)).cast("int")).over(upto)) if clamped else rows
+    rows = rows.withColumn("step", norm(minus(value, F.lag(value).over(order)))).withColumn("step_change", F.abs(F.col("step") - F.lag("step").over(order)))
     recent = order.rowsBetween(-(window - 1), 0)
     two = F.count("step").over(recent) >= 2
     stats = {"step_mean": F.avg("step"), "step_std": F.stddev_pop("step"), "step_max": F.max("step"), "change_mean": F.avg("step_change"), "change_max": F.max("step_change")}
-    rows = rows.withColumns({c: F.when(two, a.over(recent)) for c, a in stats.items()}).withColumn("step_count", F.row_number().over(order).cast("long"))
-    if "clamped" in frames.columns:
-        rows = rows.withColumn("clamped_pct", 100 * F.avg(F.col("clamped").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows
+    rows = rows.withColumns({c: F.when(two, a.over(recent)) for c, a in stats.items()})
+    if segmented:
+        rows = rows.filter("NOT ghost").drop("block", "ghost")
+    return rows.withColumn("clamped_pct", 100 * F.col("clamped_count") / F.col("step_count")).drop("clamped_count") if clamped else rows
 
 
 def synthesize_commands(frames: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -5,24 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.scan import Segments
 from cadenza.shared import summed_before
 
 
-def nearest_asof(left: DataFrame, right: DataFrame, *, by: str = "episode_index", ts: str = "ts", value: str = "value", tolerance: float | None = None, last: bool = False) -> DataFrame:
+def nearest_asof(left: DataFrame, right: DataFrame, *, by: str = "episode_index", ts: str = "ts", value: str = "value", tolerance: float | None = None, last: bool = False, segmented: bool = False) -> DataFrame:
     """left with nearest_ts and nearest_value of the right row nearest in time, the earlier of two equally near; with last
     also last_value, of the latest row that isn't later.
 
     Both sides are merged and sorted once by key and time; the neighbours on either side are running values, so there
-    is no join of all pairs. Of right rows at one time the one with the smallest value counts.
+    is no join of all pairs. Of right rows at one time the one with the smallest value counts. segmented: a key's rows are
+    spread over many tasks, for keys too long for one.
     """
     once = right.filter(F.col(ts).isNotNull()).groupBy(by, ts).agg(F.min(value).alias("r_value"))
     cols = left.columns
     rows = left.withColumn("r_ts", F.lit(None).cast(right.schema[ts].dataType)).withColumn("r_value", F.lit(None).cast(right.schema[value].dataType)).withColumn("side", F.lit(1))
     other = once.select(by, ts, F.col(ts).alias("r_ts"), "r_value", F.lit(0).alias("side"))
     merged = rows.unionByName(other, allowMissingColumns=True).withColumn("r", F.when(F.col("side") == 0, F.struct("r_ts", "r_value")))
-    order = Window.partitionBy(by).orderBy(ts, "side")
-    merged = merged.withColumn("before", F.last("r", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = merged.withColumn("after", F.last("r", ignorenulls=True).over(Window.partitionBy(by).orderBy(F.col(ts).desc(), F.col("side").desc()).rowsBetween(Window.unboundedPreceding, 0)))
+    if segmented:
+        merged = Segments(merged, by, F.col(ts), F.col("side")).running(before=("last", F.col("r")), after=("next", F.col("r"))).rows
+    else:
+        upto = lambda *order: Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        merged = merged.withColumn("before", F.last("r", ignorenulls=True).over(upto(ts, "side")))
+        merged = merged.withColumn("after", F.last("r", ignorenulls=True).over(upto(F.col(ts).desc(), F.col("side").desc())))
     back, ahead = F.col(ts) - F.col("before.r_ts"), F.col("after.r_ts") - F.col(ts)
     near = F.when(ahead.isNull() | (back <= ahead), F.col("before")).otherwise(F.col("after"))
     out = merged.filter("side = 1").withColumn("near", near)
@@ -55,10 +60,15 @@ def reindex(frames: DataFrame, order: list[str], fps: float) -> DataFrame:
     return rows.withColumn("index", F.col("episode_start") + F.col("frame_index")).withColumn("timestamp", F.col("frame_index") / F.lit(float(fps))).drop("episode_start")
 
 
-def sustained_runs(frames: DataFrame, mask: Column, at_least: int) -> DataFrame:
-    """(episode_index, start_frame, run_length): runs of frames where mask holds, of at_least frames."""
-    rows = frames.filter(mask).withColumn("island", F.col("frame_index") - F.row_number().over(ordered("frame_index")))
-    runs = rows.groupBy("episode_index", "island").agg(F.min("frame_index").alias("start_frame"), F.count(F.lit(1)).alias("run_length"))
+def sustained_runs(frames: DataFrame, mask: Column, at_least: int, *, segmented: bool = False) -> DataFrame:
+    """(episode_index, start_frame, run_length): runs of frames where mask holds, of at_least frames. segmented: for episodes
+    too long for one task."""
+    rows = frames.filter(mask)
+    if segmented:
+        rows = Segments(rows.select("episode_index", "frame_index"), "episode_index", F.col("frame_index")).running(n=("sum", F.lit(1))).rows
+    else:
+        rows = rows.withColumn("n", F.row_number().over(ordered("frame_index")))
+    runs = rows.withColumn("island", F.col("frame_index") - F.col("n")).groupBy("episode_index", "island").agg(F.min("frame_index").alias("start_frame"), F.count(F.lit(1)).alias("run_length"))
     return runs.filter(F.col("run_length") >= at_least).drop("island")
 
 
@@ -68,16 +78,22 @@ def assign_chunks(frames: DataFrame, size: int, value: str) -> DataFrame:
     return rows.withColumn("reference", F.first(value).over(Window.partitionBy("episode_index", "chunk_id").orderBy("frame_index")))
 
 
-def subsample(frames: DataFrame, ts: str, fps: float) -> DataFrame:
+def subsample(frames: DataFrame, ts: str, fps: float, *, segmented: bool = False) -> DataFrame:
     """Frames that a greedy sampler at fps takes: one whose time has reached the next target, which then moves on by one
-    period. In closed form: with m the periods since the start, i + min(1, running min of m_j + 1 - j) counts them."""
-    order = ordered(ts, "frame_index")
-    m = F.floor((F.col(ts) - F.first(ts).over(order)) * fps)
-    rows = frames.withColumn("i", F.row_number().over(order)).withColumn("m", m)
-    taken = F.col("i") + F.least(F.lit(1), F.min(F.col("m") + 2 - F.col("i")).over(order.rowsBetween(Window.unboundedPreceding, 0))) - 1
-    rows = rows.withColumn("taken", taken)
-    rows = rows.withColumn("before", F.coalesce(F.lag("taken").over(order), F.lit(0)))
-    return rows.filter("taken > before").drop("i", "m", "taken", "before")
+    period. In closed form: with m the periods since the start, i + min(1, running min of m_j + 1 - j) counts them.
+    segmented: for episodes too long for one task."""
+    order, slack = ordered(ts, "frame_index"), F.col("m") + 2 - F.col("i")
+    if segmented:
+        scan = Segments(frames, "episode_index", F.col(ts), F.col("frame_index"))
+        scan = scan.running(i=("sum", F.lit(1)), start=("min", F.col(ts)))
+        scan.kept = scan.kept.withColumn("m", F.floor((F.col(ts) - F.col("start")) * fps)).drop("start")
+        rows = scan.running(least=("min", slack), least_before=("min", slack, 1)).rows
+    else:
+        rows = frames.withColumn("i", F.row_number().over(order)).withColumn("m", F.floor((F.col(ts) - F.first(ts).over(order)) * fps))
+        rows = rows.withColumn("least", F.min(slack).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("least_before", F.lag("least").over(order))
+    taken = lambda i, least: i + F.least(F.lit(1), least) - 1
+    before = F.when(F.col("i") > 1, taken(F.col("i") - 1, F.col("least_before"))).otherwise(0)
+    return rows.filter(taken(F.col("i"), F.col("least")) > before).drop("i", "m", "least", "least_before")
 
 
 def stride_downsample(frames: DataFrame, ts: str, fps: float) -> DataFrame:

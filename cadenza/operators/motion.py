@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cadenza.operators.frames import reindex
 from cadenza.operators.joints import joint_groups
+from cadenza.scan import Segments
 
 #: The start's usual offset from its event, by mode.
 OFFSETS = {"motion": -10, "displacement": 0, "gripper": -15}
@@ -63,12 +64,13 @@ def farthest(v: Column, base: Column, joints: Sequence[int]) -> Column:
     return F.greatest(*far) if len(far) > 1 else far[0]
 
 
-def detect_motion_window(frames: DataFrame, names: Sequence[str], config: MotionTrimConfig = MotionTrimConfig()) -> DataFrame:  # noqa: B008
+def detect_motion_window(frames: DataFrame, names: Sequence[str], config: MotionTrimConfig = MotionTrimConfig(), *, segmented: bool = False) -> DataFrame:  # noqa: B008
     """(episode_index, frames, start, end, start_event, final_settle_event, start_event_found, final_settle_found).
 
     Start: the first frame of the first sustained departure from the initial position, moved by the offset; 0 if there
     is none. End, exclusive: behind the last sustained frame away from the final position, plus the postroll; the last
-    frame if there is none. A window shorter than min_frames grows at its end, then at its start.
+    frame if there is none. A window shorter than min_frames grows at its end, then at its start. segmented: for
+    episodes too long for one task.
     """
     arm, gripper = joint_groups(names)
     if config.start_mode == "gripper" and not gripper:
@@ -84,10 +86,14 @@ def detect_motion_window(frames: DataFrame, names: Sequence[str], config: Motion
     if gripper:
         unsettled |= farthest(a, F.col("final"), gripper) > config.end_gripper_threshold
     rows = rows.select("episode_index", "frame_index", "frames", departed.alias("departed"), unsettled.alias("unsettled"))
-    order = Window.partitionBy("episode_index").orderBy("frame_index")
+    outside = {f"{c}_gap": F.when(~F.col(c), F.col("frame_index")) for c in ("departed", "unsettled")}
+    if segmented:
+        rows = Segments(rows, "episode_index", F.col("frame_index")).running(**{c: ("max", v) for c, v in outside.items()}).rows
+    else:
+        upto = Window.partitionBy("episode_index").orderBy("frame_index").rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumns({c: F.max(v).over(upto) for c, v in outside.items()})
     for c in ("departed", "unsettled"):  # how long the run is that a frame ends, by the last frame that isn't in one
-        gap = F.max(F.when(~F.col(c), F.col("frame_index"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-        rows = rows.withColumn(f"{c}_run", F.when(F.col(c), F.col("frame_index") - F.coalesce(gap, F.lit(-1))))
+        rows = rows.withColumn(f"{c}_run", F.when(F.col(c), F.col("frame_index") - F.coalesce(f"{c}_gap", F.lit(-1))))
     k = config.sustain_frames
     found = rows.groupBy("episode_index", "frames").agg(
         F.min(F.when(F.col("departed_run") == k, F.col("frame_index") - k + 1)).alias("first"), F.max(F.when(F.col("unsettled_run") >= k, F.col("frame_index") + 1)).alias("last")
