@@ -195,29 +195,38 @@ def validate_frames(spark, sf_dir):
     return audit.validate_frames(rows, {"action": 4}).drop("action_not_finite")
 
 
-@query("""WITH s AS (SELECT event_type AS topic, props, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS k FROM events), f AS (SELECT topic, props::JSON AS j, unnest(json_keys(props::JSON)) AS field FROM s WHERE k <= 5)
-SELECT topic, field, count(*) AS samples FROM f GROUP BY topic, field""")
+@query("""WITH s AS (SELECT event_type AS topic, event_id, epoch(ts)::DOUBLE AS t, '{"own": ' || props || ', "list": [' || props || ', 1], "n": ' || CASE WHEN event_id % 3 = 0 THEN '1.5' WHEN event_id % 3 = 1 THEN '7' ELSE '"x"' END || ', "none": [], "deep": [[true]]}' AS j, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS k FROM events),
+f AS (SELECT topic, event_id, t, unnest(['own', 'own.k', 'list', 'list[0].k', 'n', 'none', 'deep']) AS field, unnest(['object', CASE json_type(j, '$.own.k') WHEN 'DOUBLE' THEN 'float' WHEN 'VARCHAR' THEN 'str' ELSE 'int' END, 'List[object]', CASE json_type(j, '$.list[0].k') WHEN 'DOUBLE' THEN 'float' WHEN 'VARCHAR' THEN 'str' ELSE 'int' END,
+CASE event_id % 3 WHEN 0 THEN 'float' WHEN 1 THEN 'int' ELSE 'str' END, 'List[empty]', 'List[list]']) AS type, unnest([NULL, NULL, 2, NULL, NULL, 0, 1]) AS length FROM s WHERE k <= 5), o AS (SELECT topic, field, type, min(event_id) AS first FROM f GROUP BY ALL)
+SELECT topic, field, (SELECT string_agg(type, ' | ' ORDER BY first) FROM o WHERE o.topic = f.topic AND o.field = f.field) AS type, count(*) AS samples, min(length) AS length, round(arg_min(t, event_id), 3) AS first_ts, round(arg_max(t, event_id), 3) AS last_ts FROM f GROUP BY topic, field""")
 def message_structure(spark, sf_dir):
-    rows = read(spark, sf_dir, "events").select(F.col("event_type").alias("topic"), F.col("event_id").alias("seq"), F.col("props").alias("payload_json"))
-    return audit.message_structure(rows).select("topic", "field", "samples")
+    """Events' properties, within an object, in a list, and beside a field whose type changes."""
+    number = F.when(F.col("event_id") % 3 == 0, "1.5").when(F.col("event_id") % 3 == 1, "7").otherwise('"x"')
+    payload = F.concat(F.lit('{"own": '), "props", F.lit(', "list": ['), "props", F.lit(', 1], "n": '), number, F.lit(', "none": [], "deep": [[true]]}'))
+    rows = read(spark, sf_dir, "events").select(F.col("event_type").alias("topic"), F.col("event_id").alias("seq"), payload.alias("payload_json"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("ts"))
+    return audit.message_structure(rows).withColumns({c: F.round(c, 3) for c in ("first_ts", "last_ts")})
 
 
-@query("""WITH n AS (SELECT p_partkey % 20 AS pair_id, count(*) AS n FROM part GROUP BY 1) SELECT pair_id, CASE WHEN pair_id % 4 = 1 OR pair_id % 5 = 2 OR pair_id % 6 = 4 THEN 'error' WHEN pair_id % 7 = 3 THEN 'pass_with_warnings' ELSE 'pass' END AS status,
-(pair_id % 4 = 1)::INTEGER + (pair_id % 5 = 2)::INTEGER + (pair_id % 6 = 4)::INTEGER AS errors, (pair_id % 7 = 3)::INTEGER AS warnings FROM n""")
+@query("""WITH n AS (SELECT DISTINCT p_partkey % 500 AS i FROM part), x AS (SELECT i, ((i % 4 = 1)::INT * 2 + (i % 10 = 6)::INT + (i % 5 = 2 AND i % 12 <> 9)::INT + (i % 8 = 5)::INT + (i % 9 = 7)::INT + (i % 6 = 4)::INT + (i % 12 = 9)::INT * 2)::INT AS errors, ((i % 7 = 3)::INT + (i % 7 = 4)::INT * 2 + (i % 11 = 0)::INT)::INT AS warnings FROM n)
+SELECT i AS pair_id, CASE WHEN errors > 0 THEN 'error' WHEN warnings > 0 THEN 'pass_with_warnings' ELSE 'pass' END AS status, errors, warnings, i % 10 = 6 AS cameras FROM x""")
 def contract_audit(spark, sf_dir):
-    """Twenty contracts: some with swapped names, some with a gap between slices, some without absolute actions, some with other shapes."""
-    ids = read(spark, sf_dir, "part").select((F.col("p_partkey") % 20).alias("pair_id")).distinct()
-    n = F.array(*(F.lit(x) for x in ("a", "b", "c")))
-    swapped = F.when(F.col("pair_id") % 4 == 1, F.reverse(n)).otherwise(n)
-    shape = F.when(F.col("pair_id") % 7 == 3, F.array(F.lit("480"))).otherwise(F.array(F.lit("640")))
-    side = lambda s, kind, v: ids.select("pair_id", F.lit(s).alias("side"), F.lit(kind).alias("kind"), v.alias("names"))
-    features = side("dataset", "action", n).union(side("checkpoint", "action", swapped)).union(side("dataset", "shape", F.array(F.lit("640")))).union(side("checkpoint", "shape", shape))
-    gap = F.when(F.col("pair_id") % 5 == 2, 9).otherwise(8)
-    slices = ids.select("pair_id", F.lit(0).alias("position"), F.lit(0).alias("start"), F.lit(8).alias("end")).union(ids.select("pair_id", F.lit(1), gap, F.lit(16)))
-    dims = ids.withColumn("dim", F.lit(16))
-    flags = ids.select("pair_id", F.lit(True).alias("relative"), (F.col("pair_id") % 6 != 4).alias("absolute"))
-    found = audit.contract_audit(features, [("dataset", "checkpoint")], slices, dims, flags)
-    return found.select("pair_id", "status", F.size("errors").alias("errors"), F.size("warnings").alias("warnings"))
+    """Contracts: every fourth with swapped names, every third with cameras in another order (which is fine), some with a gap
+    between slices, an arm without one, odd dimensions or shapes, and without absolute actions."""
+    ids = read(spark, sf_dir, "part").select((F.col("p_partkey") % 500).alias("pair_id")).distinct()
+    i, text = F.col("pair_id"), lambda *v: F.array(*map(F.lit, v))
+    fact = lambda side, kind, v: ids.select("pair_id", F.lit(side).alias("side"), F.lit(kind).alias("kind"), v.alias("names"))
+    n, cameras = text("r_a", "l_a"), text("top", "wrist")
+    facts = fact("dataset", "action", n).union(fact("dataset", "state", n)).union(fact("processor", "action", n)).union(fact("checkpoint", "action", F.when(i % 4 == 1, F.reverse(n)).otherwise(n)))
+    facts = facts.union(fact("runtime", "arms", text("r", "l"))).union(fact("runtime", "joints", F.when(i % 9 == 7, text("a", "b")).otherwise(text("a")))).union(fact("dataset", "cameras", cameras))
+    facts = facts.union(fact("checkpoint", "cameras", F.when(i % 3 == 0, F.reverse(cameras)).otherwise(cameras))).union(fact("runtime", "cameras", F.when(i % 10 == 6, text("top")).otherwise(F.reverse(cameras))))
+    numbers = ids.select("pair_id", F.lit("action_dim").alias("name"), F.lit(2).alias("value")).union(ids.select("pair_id", F.lit("state_dim"), F.when(i % 8 == 5, 3).otherwise(2)))
+    slices = ids.select("pair_id", F.lit("r").alias("arm"), F.lit(0).alias("start"), F.lit(1).alias("end")).union(ids.filter(i % 12 != 9).select("pair_id", F.lit("l"), F.when(i % 5 == 2, 0).otherwise(1), F.lit(2)))
+    flag = lambda name, v: ids.select("pair_id", F.lit(name).alias("name"), v.alias("value"))
+    flags = flag("use_relative_actions", F.lit(True)).union(flag("relative_enabled", F.lit(True))).union(flag("absolute_enabled", i % 6 != 4)).union(flag("async_prefetch", i % 11 != 0))
+    shape = F.when(i % 7 == 3, F.array(F.lit(3), F.lit(240), F.lit(320))).when(i % 7 == 4, F.array(F.lit(3), F.lit(480), F.lit(480))).otherwise(F.array(F.lit(3), F.lit(480), F.lit(640)))
+    shapes = ids.select("pair_id", F.lit("dataset").alias("side"), F.lit("top").alias("camera"), F.array(F.lit(3), F.lit(480), F.lit(640)).alias("shape")).union(ids.select("pair_id", F.lit("checkpoint"), F.lit("top"), shape))
+    found = audit.contract_audit(facts, numbers=numbers, slices=slices, flags=flags, shapes=shapes)
+    return found.select("pair_id", "status", F.size("errors").alias("errors"), F.size("warnings").alias("warnings"), F.exists("errors", lambda e: F.contains(e, F.lit("camera roles"))).alias("cameras"))
 
 
 @query("""WITH i AS (SELECT user_id % 8 AS r, event_id, ts FROM events WHERE user_id % 8 < 6), n AS (SELECT r, arg_max(event_id, (ts, printf('%012d', event_id))) AS id FROM i GROUP BY r)

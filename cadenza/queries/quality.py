@@ -155,8 +155,8 @@ def window_rates(spark, sf_dir):
 
 
 @query("""WITH r AS (SELECT time_bucket(INTERVAL 6 hour, ts) AS start, user_id % 20 AS episode_index, event_type AS topic, count(*) / 21600.0 AS fps FROM events WHERE event_type IN ('view', 'click') GROUP BY ALL),
-w AS (SELECT DISTINCT start, episode_index FROM r), a AS (SELECT start, episode_index, e.topic, coalesce(r.fps, 0) AS fps, coalesce(r.fps, 0) < e.due * 2 / 3 AS slow FROM w, (VALUES ('click', 0.0004), ('view', 0.0005)) e(topic, due) LEFT JOIN r USING (start, episode_index, topic))
-SELECT start, episode_index, (count(*) FILTER (slow))::INT AS slow_cameras, (min_by(topic, (fps, topic)) FILTER (slow)) AS bottleneck, round(min(fps) FILTER (slow), 9) AS fps FROM a GROUP BY ALL""")
+w AS (SELECT DISTINCT start, episode_index FROM r), e AS (SELECT w.*, v.* FROM w, (VALUES ('click', 0.0004), ('view', 0.0005)) v(topic, due)), a AS (SELECT e.start, e.episode_index, e.topic, coalesce(r.fps, 0) AS fps, coalesce(r.fps, 0) < e.due * 2 / 3 AS slow FROM e LEFT JOIN r ON r.start = e.start AND r.episode_index = e.episode_index AND r.topic = e.topic)
+SELECT start, episode_index, (count(*) FILTER (slow))::INT AS slow_cameras, (min_by(topic, (fps, topic)) FILTER (slow)) AS bottleneck, round((min(fps) FILTER (slow)), 9) AS fps FROM a GROUP BY ALL""")
 def bottlenecks(spark, sf_dir):
     """The streaming operator on the table as it stands."""
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("ts", (F.col("user_id") % 20).alias("episode_index"), F.col("event_type").alias("topic"))

@@ -233,6 +233,46 @@ def test_merging_and_checks(spark):
 
 
 def test_structure_of_messages(spark):
-    rows = [("t", 1, '{"a": 1, "b": [1, 2], "c": "x"}'), ("t", 2, '{"a": 1.5, "b": [3, 4]}'), ("t", 9, '{"z": 1}')]
-    got = audit.message_structure(spark.createDataFrame(rows, "topic string, seq long, payload_json string"), samples=2).collect()
-    assert {(r.field, r.type, r.samples) for r in got} == {("a", "float|int", 2), ("b", "list[2]", 2), ("c", "string", 1)}
+    rows = [("t", 1, '{"a": 1, "b": [1, 2], "c": "x"}', 5.0), ("t", 2, '{"a": 1.5, "b": [3, 4]}', 6.0), ("t", 9, '{"z": 1}', 9.0), ("u", 1, '{"a": {"b": 1, "c": [1.5]}, "d": ["x"], "e": null, "f": [], "g": [{"h": [{"i": true}]}], "j": {}}', None), ("u", 2, "no json", 2.0), ("v", 1, "[1]", 2.0), ("v", 2, None, 2.0)]
+    schema = "topic string, seq long, payload_json string, ts double"
+    got = audit.message_structure(spark.createDataFrame(rows, schema), samples=2).collect()
+    assert {(r.field, r.type, r.samples, r.length) for r in got if r.topic == "t"} == {("a", "int | float", 2, None), ("b", "List[int]", 2, 2), ("c", "str", 1, None)}
+    nested = {"a": "object", "a.b": "int", "a.c": "List[float]", "d": "List[str]", "e": "None", "f": "List[empty]", "g": "List[object]", "g[0].h": "List[object]", "g[0].h[0].i": "bool", "j": "object"}
+    assert {r.field: r.type for r in got if r.topic == "u"} == nested and {r.topic for r in got} == {"t", "u"}
+    assert {(r.first_ts, r.last_ts) for r in got if r.topic == "t"} == {(5.0, 6.0)}
+    assert audit.message_structure(spark.createDataFrame([], schema)).count() == 0
+
+
+def contract(spark, **changes):
+    """The errors and warnings of one contract that is right but for the changes."""
+    names = ["right_joint_1.pos", "left_joint_1.pos"]
+    facts = {("dataset", "action"): names, ("dataset", "state"): names, ("processor", "action"): names, ("checkpoint", "action"): names, ("runtime", "arms"): ["right", "left"], ("runtime", "joints"): ["joint1"]}
+    facts |= {(s, "cameras"): ["left", "right"] for s in ("dataset", "checkpoint", "runtime")} | changes.pop("facts", {})
+    numbers = {"state_dim": 2, "action_dim": 2} | changes.pop("numbers", {})
+    slices = {"right": (0, 1), "left": (1, 2)} | changes.pop("slices", {})
+    flags = {"use_relative_actions": True, "relative_enabled": True, "absolute_enabled": True, "async_prefetch": True} | changes.pop("flags", {})
+    shapes = changes.pop("shapes", [])
+    row = audit.contract_audit(
+        spark.createDataFrame([(1, *k, v) for k, v in facts.items()], "pair_id long, side string, kind string, names array<string>"),
+        numbers=spark.createDataFrame([(1, k, v) for k, v in numbers.items()], "pair_id long, name string, value long"),
+        slices=spark.createDataFrame([(1, k, *v) for k, v in slices.items() if v], "pair_id long, arm string, start long, end long"),
+        flags=spark.createDataFrame([(1, k, v) for k, v in flags.items()], "pair_id long, name string, value boolean"),
+        shapes=spark.createDataFrame([(1, *s) for s in shapes], "pair_id long, side string, camera string, shape array<int>"),
+    ).first()
+    return row.status, row.errors, row.warnings
+
+
+def test_contracts(spark):
+    assert contract(spark) == ("pass", [], [])
+    status, errors, _ = contract(spark, facts={("runtime", "arms"): ["left", "right"]})
+    assert status == "error" and any("runtime/checkpoint arm order" in e for e in errors) and sum("Non-contiguous" in e for e in errors) == 2
+    assert contract(spark, facts={("runtime", "cameras"): ["right", "left"]})[0] == "pass"
+    assert "runtime/checkpoint camera roles" in contract(spark, facts={("runtime", "cameras"): ["right"]})[1][0]
+    assert contract(spark, facts={("dataset", "state"): ["left_joint_1.pos", "right_joint_1.pos"]})[1][0].startswith("dataset action/state names mismatch")
+    assert contract(spark, slices={"left": None})[1] == ["Missing runtime arm configuration for left", "Runtime arm slices cover 1 actions, checkpoint expects 2"]
+    assert len(contract(spark, numbers={"action_dim": 3})[1]) == 4 and len(contract(spark, facts={("runtime", "joints"): ["a", "b"]})[1]) == 1
+    assert contract(spark, flags={"absolute_enabled": False})[1] == ["relative actions are never made absolute"] and len(contract(spark, flags={"relative_enabled": False})[1]) == 1
+    assert contract(spark, flags={"rtc_enabled": True, "async_prefetch": False}) == ("pass_with_warnings", [], ["RTC is enabled", "Synchronous prefetch is disabled"])
+    assert contract(spark, facts={("conversion", "arms"): ["left", "right"], ("conversion", "action"): []})[1] == ["conversion/checkpoint arm order mismatch: actual=[left,right], expected=[right,left]"]
+    shapes = [(s, "top", [3, *x]) for s, x in (("dataset", (480, 640)), ("checkpoint", (240, 320)))]
+    assert contract(spark, shapes=shapes)[2] == ["Camera top metadata shape differs"] and len(contract(spark, shapes=[*shapes[:1], ("checkpoint", "top", [3, 9, 9])])[2]) == 2
