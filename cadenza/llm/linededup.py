@@ -4,7 +4,8 @@ common blocks of at least `min_words` words are deleted from the later document.
 What is looked up: a line of min_words words by its own hash, a shorter one, which by itself is seldom rare, by the hash
 of the run of lines from it on, and of that back from it, that just reaches min_words. Each such hash leads to the
 earliest document that has it, however many others do, so a document is aligned with the first holders of its runs and
-never with all the others of a group of copies, and no common block is overlooked. "Earlier" is the smaller id; the first
+never with all the others of a group of copies. Where few distinct lines repeat over and over, alignments of whole documents can miss
+a common run; runs that are left are aligned one by one at the end, so that no common block is overlooked. "Earlier" is the smaller id; the first
 holder keeps its lines.
 """
 
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import bounded, fresh, stash
 
 MIN_WORDS = 20
-#: Occurrences of a line on either side that are looked at where all common lines repeat.
+#: Occurrences of a line on either side from which a block is tried where all common lines repeat; what that misses is
+#: aligned run by run at the end, so it changes nothing but the time that is taken.
 NEAR = 8
 
 
@@ -154,6 +156,19 @@ def repeated(a: tuple[list[int], list[int]], b: tuple[list[int], list[int]], min
             kept = [j for j in piece if j not in gone]
             cuts = [k for k in range(1, len(kept)) if kept[k] != kept[k - 1] + 1]
             pieces += [kept[p:q] for p, q in zip([0, *cuts], [*cuts, len(kept)], strict=True) if p < q]
+    for h in shared:  # each line of a common block is in one of its runs; runs that are left are aligned by themselves
+        lo_a, hi_a = in_a[h][0]
+        for lo, hi in in_b[h]:
+            if gone.issuperset(j for j in range(lo, hi) if words[j]):
+                continue
+            aligned = patience(x[lo_a:hi_a], y[lo:hi], lambda i, j: alike(x[lo_a:hi_a], y[lo:hi], i, j))  # noqa: B023
+            if aligned != [(k, k) for k in range(hi - lo)]:
+                continue
+            while not words[lo]:
+                lo += 1
+            while not words[hi - 1]:
+                hi -= 1
+            gone |= set(range(lo, hi))
     return sorted(gone)
 
 

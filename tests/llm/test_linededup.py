@@ -108,3 +108,14 @@ def test_nulls_repeats_long_and_empty(spark):
     want = [(1, long), (2, "and a tail"), (3, None), (3, ""), (None, long), (4, "w " * 30), (4, "w " * 30)]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert linededup.dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_few_lines_that_repeat():
+    """Where lines repeat over and over nothing is overlooked either."""
+    rng = random.Random(5)
+    for n in range(1500):
+        pool = [" ".join(f"w{k}_{i}" for i in range(rng.choice([3, 5, 7, 11]))) for k in range(rng.choice([2, 3, 4]))] + ["", "z"]
+        a, b = ("\n".join(rng.choices(pool, k=rng.randint(4, 26))) for _ in range(2))
+        gone = set(linededup.repeated(linededup.lines_of(a), linededup.lines_of(b), 20))
+        want = brute([(1, a), (2, b)], 20)[2]
+        assert "\n".join(x for i, x in enumerate(b.split("\n")) if i not in gone) == want, n
