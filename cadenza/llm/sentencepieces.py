@@ -136,16 +136,23 @@ def rebuild(m: Model):
 
 
 SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+#: Segments encoded in one string.
+TOGETHER = 500
 #: Fixed value of the library: what an unknown character costs beyond the worst score.
 UNKNOWN_PENALTY = 10.0
 
 
-def best_path(m: Model, text: str) -> list[int]:
+def path_tables(m: Model) -> tuple[dict[str, np.float32], int, np.float32, dict[str, int]]:
+    """What best_path looks up: scores of the pieces that may come from text, their longest, what an unknown character
+    costs, and all ids."""
+    scores = {p: np.float32(x) for p, x, k in zip(m.pieces, m.scores, m.kinds, strict=True) if k == NORMAL}
+    return scores, max(map(len, scores), default=1), np.float32(min(scores.values(), default=0) - UNKNOWN_PENALTY), {p: i for i, p in enumerate(m.pieces)}
+
+
+def best_path(m: Model, text: str, tables: tuple) -> list[int]:
     """Ids of a normalised text's likeliest pieces in single precision, summed up from the text's beginning, which is what
     decides between paths that are next to equally likely. Only pieces that may come from text are looked up."""
-    scores = {p: np.float32(x) for p, x, k in zip(m.pieces, m.scores, m.kinds, strict=True) if k == NORMAL}
-    longest = max(map(len, scores), default=1)
-    unknown = np.float32(min(scores.values(), default=0) - UNKNOWN_PENALTY)
+    scores, longest, unknown, ids = tables
     best: list[tuple[np.float32, int, bool] | None] = [(np.float32(0), 0, False), *[None] * len(text)]
     for at in range(len(text)):
         here = best[at][0]
@@ -155,7 +162,6 @@ def best_path(m: Model, text: str) -> list[int]:
                     best[end] = (here + own, at, True)
             elif end == at + 1 and (best[end] is None or here + unknown > best[end][0]):
                 best[end] = (here + unknown, at, False)
-    ids = {p: i for i, p in enumerate(m.pieces)}
     out: list[list[int]] = []
     at, was_unknown = len(text), False
     while at:
@@ -175,7 +181,7 @@ class Encoder:
     up, and those that a worker hasn't met go to the tokenizer as one batch, which it deals to its threads. At most `most`
     segments are remembered, or those of one batch."""
 
-    def __init__(self, model: bytes, most: int = 300_000) -> None:
+    def __init__(self, model: bytes, most: int = 150_000) -> None:
         import tokenizers as T
 
         self.model = m = Model.parse(model)
@@ -188,24 +194,46 @@ class Encoder:
             self.tokenizer.normalizer = T.normalizers.Sequence([])
         # markers are turned back into spaces on whole texts: token by token that takes longer than all the rest
         self.whole.decoder = T.decoders.Sequence([T.decoders.ByteFallback(), T.decoders.Fuse()])
-        foreign = [p for p, k in zip(m.pieces, m.kinds, strict=True) if k not in (NORMAL, USER_DEFINED)]
-        #: What a unigram tokenizer would take from text although the model doesn't.
-        self.foreign = re.compile("|".join(map(re.escape, foreign))) if foreign and m.model_type == UNIGRAM else None
+        #: Of a unigram model's paths some are next to equally likely: what decides is the model's own single precision.
+        self.single = path_tables(m) if m.model_type == UNIGRAM and USER_DEFINED not in m.kinds else None
+        self.bytes = np.array([1 if k == BYTE else len(p.encode()) if k == NORMAL else 1 << 40 for p, k in zip(m.pieces, m.kinds, strict=True)], np.int64)
 
     def forget(self) -> None:
         """known: the place of each remembered segment; its ids are those of flat from ends[place] to ends[place + 1]."""
         self.known: dict[str, int] = {}
         self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
+    def encoded(self, names: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(names in another order, their ids one after the other, how many each has). TOGETHER segments are encoded in one
+        string, as no piece reaches from one to the next; those of a string whose pieces don't give its bytes back, and
+        names that aren't segments, are encoded by themselves."""
+        plain = [s for s in names if self.cut and s[0] == MARK and s[-1] != MARK]
+        units = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(["".join(u) for u in units], add_special_tokens=False)]
+        done, parts, sizes = [], [], []
+        for unit, ids in zip(units, lists, strict=True):
+            flat = np.array(ids, np.int32)
+            ends, last = np.cumsum(self.bytes[flat]), np.cumsum([len(s.encode()) for s in unit])
+            until = np.searchsorted(ends, last)
+            if len(ends) and until[-1] == len(ends) - 1 and np.array_equal(ends[until], last):
+                done += unit
+                parts.append(flat)
+                sizes.append(np.diff(until, prepend=-1))
+        known = set(done)
+        rest = [s for s in names if s not in known]
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+        parts.append(np.fromiter(chain.from_iterable(lists), np.int32, int(sizes[-1].sum())))
+        return done + rest, np.concatenate(parts), np.concatenate(sizes)
+
     def places(self, names: list[str]) -> np.ndarray:
         """Of each of the distinct names, its place among the remembered segments."""
         new = [s for s in names if s not in self.known]
         if len(self.known) + len(new) > self.most:
             self.forget()
             new = names
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum()))])
+        new, ids, size = self.encoded(new)
+        self.flat = np.concatenate([self.flat, ids])
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
         return np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
@@ -248,6 +276,9 @@ class Encoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, where each text's begin, and the end)."""
+        if self.single is not None:
+            lists = [np.array(best_path(self.model, self.normal(t), self.single), np.int32) for t in texts.to_pylist()]
+            return np.concatenate([np.zeros(0, np.int32), *lists]), np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
         if self.cut:
             segment, number, names = self.segments(texts)
             place = self.places(names)[segment]
@@ -261,20 +292,8 @@ class Encoder:
         ends = np.cumsum(own)
         ids = self.flat[np.repeat(begin - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(number)])]
-        if self.foreign is not None:
-            rest = [i for i, t in enumerate(texts.to_pylist()) if self.foreign.search(t)]
-            ids, bounds = self.again(texts, ids, bounds, rest)
         return ids, bounds
 
-    def again(self, texts: pa.Array, ids: np.ndarray, bounds: np.ndarray, rows: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """The result with the given texts' ids found by best_path."""
-        if not rows:
-            return ids, bounds
-        lists = np.split(ids, bounds[1:-1])
-        for i in rows:
-            lists[i] = np.array(best_path(self.model, self.normal(texts[i].as_py())), np.int32)
-        return np.concatenate(lists), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
         """The texts of whole id lists."""
         flat = ids.tolist()
@@ -293,8 +312,8 @@ def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", ids: str =
     ids) and decodes (the whole ids, decoded, give the text back, as normalised).
 
     Null text: all three null; empty text: no ids. Whole texts are encoded, however long, and repeated rows alike. Of a
-    unigram model's paths some are next to equally likely; with verify, a text whose ids differ from the library's is
-    segmented once more in the library's precision. The model file's bytes are a few MB at most and go to the workers by
+    unigram model's paths some are next to equally likely; its texts are segmented in the model's single precision, by a
+    plain Viterbi pass, so that ids don't depend on verify. The model file's bytes are a few MB at most and go to the workers by
     broadcast. New columns get other names if docs has theirs: underscores are put before them.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -311,7 +330,7 @@ def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", ids: str =
         def differing(theirs: list[np.ndarray], found: np.ndarray, bounds: np.ndarray) -> list[int]:
             return [i for i, x in enumerate(theirs) if not np.array_equal(x, found[bounds[i] : bounds[i + 1]])]
 
-        for batch in bounded(batches, 1 << 13, 3 << 20):
+        for batch in bounded(batches, 1 << 13, 2 << 20):
             column = batch.column(batch.schema.names.index(text_col))
             there = column.is_valid().to_numpy(zero_copy_only=False)
             texts = column.drop_null()
@@ -321,9 +340,6 @@ def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", ids: str =
                 strings = texts.to_pylist()
                 theirs = judge.encode(strings, num_threads=1, out_type="numpy")
                 wrong = differing(theirs, found, bounds)
-                if wrong and encoder.model.model_type == UNIGRAM and USER_DEFINED not in encoder.model.kinds:
-                    found, bounds = encoder.again(texts, found, bounds, wrong)
-                    wrong = differing(theirs, found, bounds)
                 same = np.ones(len(texts), bool)
                 same[wrong] = False
                 back = encoder.decode(found, bounds)

@@ -64,6 +64,8 @@ def test_other_models_against_sentencepiece(spark, model_type, byte_fallback):
     for r in sentencepieces.encode(docs.union(more), model).collect():
         assert (r.ids, r.parity) == ((None, None) if r.text is None else (judge.encode(r.text), True)), r.text[:99]
         assert r.decodes is None if r.text is None else r.decodes or judge.unk_id() in r.ids
+    plain = sentencepieces.encode(docs, model, verify=False).collect()
+    assert all(r.ids == judge.encode(r.text) for r in plain if r.text is not None)
 
 
 def test_pieces_that_never_come_from_text():
