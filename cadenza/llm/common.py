@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,11 +23,22 @@ BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
 
 def bounded(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most `rows` rows and, unless a single row is larger, about `most` bytes."""
+    """The batches in slices of at most `rows` rows and, unless a single row is larger, about `most` bytes. Before the first
+    and behind the last, memory that earlier tasks of this worker have left is given back."""
+    give_back()
     for batch in batches:
         step = max(1, min(rows, int(batch.num_rows * most / max(1, batch.nbytes))))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns free memory to the system: workers stay for the next stage, and what they hold counts for their executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def word_count(text: Column) -> Column:
