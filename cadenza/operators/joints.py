@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.shared import ranked
+
 #: Endings of camera topics, the first that fits goes.
 CAMERA_ENDINGS = ("image_raw/compressed", "image/compressed", "compressed", "image_raw", "image")
 
@@ -105,8 +107,9 @@ def shoulder_mask(name: Column) -> Column:
 
 
 def display_joint_order(joints: DataFrame) -> DataFrame:
-    """joints (name) in a display's order: finger joints last, each part sorted."""
-    return joints.orderBy(F.contains("name", F.lit("finger_joint1")), "name")
+    """joints (name) with position, from 0, in a display's order: finger joints last, each part sorted."""
+    rows = ranked(joints, "position", F.contains("name", F.lit("finger_joint1")), F.col("name"))
+    return rows.withColumn("position", F.col("position") - 1)
 
 
 def concat_arms(samples: DataFrame, arms: Sequence[str], values: Sequence[str] = ("observation", "action")) -> DataFrame:

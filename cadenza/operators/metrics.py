@@ -16,21 +16,42 @@ from cadenza.shared import summed_before
 QUANTILES = {"q01": 0.01, "q10": 0.1, "q50": 0.5, "q90": 0.9, "q99": 0.99}
 
 
-def exact_quantiles(rows: DataFrame, quantiles: dict[str, float]) -> DataFrame:
-    """(dim, one column a quantile) of rows (dim, x), linearly interpolated. No state grows with the number of values: they
-    are counted, the counts are added up over range partitions, and the values at the wanted places are looked up."""
-    counts = rows.filter("x IS NOT NULL").groupBy("dim", "x").agg(F.count(F.lit(1)).alias("c"))
-    before = summed_before(counts, "upto", "c", F.col("dim"), F.col("x"))
-    sizes = before.groupBy("dim").agg(F.sum("c").alias("n"), F.min("upto").alias("base"))
+def count_quantiles(counts: DataFrame, quantiles: dict[str, float], by: Sequence[str] = ("dim",)) -> DataFrame:
+    """(by, one column a quantile) of counted values (by, x, c), one row a value, linearly interpolated, for few groups. No state grows with
+    the number of values: counts are added up over range partitions, and the values at the wanted places are looked up."""
+    before = summed_before(counts, "upto", "c", *map(F.col, by), F.col("x"))
+    sizes = before.groupBy(*by).agg(F.sum("c").alias("n"), F.min("upto").alias("base"))
     wanted = F.array(*(F.struct(F.lit(k).alias("k"), (F.lit(q) * (F.col("n") - 1)).alias("at")) for k, q in quantiles.items()))
-    wanted = sizes.select("dim", "base", F.explode(wanted).alias("w")).select("dim", "base", "w.k", F.col("w.at").alias("at"))
-    wanted = wanted.select("dim", "k", "base", "at", F.explode(F.array(F.struct(F.floor("at").alias("i"), F.lit(0).alias("s")), F.struct(F.ceil("at").alias("i"), F.lit(1).alias("s")))).alias("e"))
-    # a few rows a dimension: each value meets the wanted places of its dimension
-    met = before.join(F.broadcast(wanted.withColumnRenamed("dim", "d").select("d", "k", "at", "e.*", "base")), F.col("dim") == F.col("d"))
+    wanted = sizes.select(*by, "base", F.explode(wanted).alias("w")).select(*by, "base", "w.k", F.col("w.at").alias("at"))
+    wanted = wanted.select(*by, "k", "base", "at", F.explode(F.array(F.struct(F.floor("at").alias("i"), F.lit(0).alias("s")), F.struct(F.ceil("at").alias("i"), F.lit(1).alias("s")))).alias("e"))
+    # a few rows a group, of which there are few (dimensions, stages): each value meets the wanted places of its group
+    wanted = wanted.select(*(F.col(c).alias(f"w_{c}") for c in by), "k", "at", "e.*", "base")
+    met = before.join(F.broadcast(wanted), [F.col(c).eqNullSafe(F.col(f"w_{c}")) for c in by])
     met = met.filter((F.col("upto") - F.col("base") <= F.col("i")) & (F.col("i") < F.col("upto") - F.col("base") + F.col("c")))
-    pairs = met.groupBy("dim", "k", "at").agg(F.max(F.when(F.col("s") == 0, F.col("x"))).alias("lo"), F.max(F.when(F.col("s") == 1, F.col("x"))).alias("hi"))
+    pairs = met.groupBy(*by, "k", "at").agg(F.max(F.when(F.col("s") == 0, F.col("x"))).alias("lo"), F.max(F.when(F.col("s") == 1, F.col("x"))).alias("hi"))
     value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
-    return pairs.groupBy("dim").agg(*(F.max(F.when(F.col("k") == k, value)).alias(k) for k in quantiles))
+    return pairs.groupBy(*by).agg(*(F.max(F.when(F.col("k") == k, value)).alias(k) for k in quantiles))
+
+
+def exact_quantiles(rows: DataFrame, quantiles: dict[str, float], by: Sequence[str] = ("dim",)) -> DataFrame:
+    """count_quantiles of rows (by, x); nulls don't count."""
+    return count_quantiles(rows.filter("x IS NOT NULL").groupBy(*by, "x").agg(F.count(F.lit(1)).alias("c")), quantiles, by)
+
+
+def value_counts(frames: DataFrame, feature: str) -> DataFrame:
+    """(dim, x, c): how often each value occurs in each dimension of a feature. Tables of several datasets, one below the other,
+    are those of all of them."""
+    rows = frames.select(F.posexplode(feature).alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
+    return rows.filter("x IS NOT NULL").groupBy("dim", "x").agg(F.count(F.lit(1)).alias("c"))
+
+
+def stats_of_counts(counts: DataFrame) -> DataFrame:
+    """feature_stats by value_counts."""
+    once = counts.groupBy("dim", "x").agg(F.sum("c").alias("c"))
+    n, mean = F.sum("c"), F.sum(F.col("x") * F.col("c")) / F.sum("c")
+    plain = once.groupBy("dim").agg(F.min("x").alias("min"), F.max("x").alias("max"), mean.alias("mean"), n.alias("count"))
+    spread = once.join(F.broadcast(plain.select("dim", "mean")), "dim").groupBy("dim").agg(F.sqrt(F.sum((F.col("x") - F.col("mean")) ** 2 * F.col("c")) / F.sum("c")).alias("std"))  # a row a dimension
+    return plain.join(spread, "dim").select("dim", "min", "max", "mean", "std", "count").join(count_quantiles(once, QUANTILES), "dim", "left")
 
 
 def feature_stats(frames: DataFrame, feature: str) -> DataFrame:
@@ -144,22 +165,27 @@ def baseline_sanity(predictions: DataFrame, max_delta: float, shoulders: Sequenc
     return out.join(frames, "episode_index")
 
 
-def sanity_rollup(predictions: DataFrame, max_delta: float, shoulders: Sequence[int]) -> DataFrame:
-    """baseline_sanity's errors overall and by split, each frame counting alike."""
+def sanity_rollup(predictions: DataFrame, max_delta: float, shoulders: Sequence[int], latencies: DataFrame | None = None) -> DataFrame:
+    """baseline_sanity's errors overall and by split, each frame counting alike; with latencies (split_label, seconds) also how
+    many predictions there are (n), and their mean_ms, p50_ms, p95_ms and p99_ms."""
     rows = joint_rows(predictions, max_delta)
     label = lambda df: df.withColumn("split_label", F.when(F.col("g") == 1, "overall").otherwise(F.col("split_label"))).drop("g")
     out = label(rows.groupingSets([[], ["split_label"]], "split_label").agg(F.grouping("split_label").alias("g"), F.count_distinct("episode_index").alias("episodes"), *sanity_columns(shoulders)))
     frames = rows.groupBy("split_label", "episode_index", "frame_index").agg(F.bool_or("clamped").cast("int").alias("any"))
     frames = label(frames.groupingSets([[], ["split_label"]], "split_label").agg(F.grouping("split_label").alias("g"), F.count(F.lit(1)).alias("frames"), F.avg("any").alias("clamp_frame_rate")))
-    return out.join(frames, "split_label")
+    out = out.join(frames, "split_label")
+    if latencies is None:
+        return out
+    times = latencies.select("split_label", "seconds").union(latencies.select(F.lit("overall"), "seconds"))
+    return out.join(latency_summary(times, ["split_label"]).drop("delay_steps"), "split_label", "left")
 
 
 def latency_summary(latencies: DataFrame, by: Sequence[str] = ("stage",), *, hz: float = 30.0) -> DataFrame:
     """Per group of latencies (seconds): count, mean, p50, p95, p99 in ms, and the control steps that the p95 takes."""
-    ms = F.col("seconds") * 1000
-    q = F.percentile(ms, F.array(*(F.lit(x) for x in (0.5, 0.95, 0.99))))
-    out = latencies.groupBy(*by).agg(F.count("seconds").alias("n"), F.avg(ms).alias("mean_ms"), q.alias("q"))
-    out = out.select(*by, "n", "mean_ms", *(F.col("q")[i].alias(f"p{p}_ms") for i, p in enumerate((50, 95, 99))))
+    rows = latencies.select(*by, (F.col("seconds") * 1000).alias("x"))
+    out = rows.groupBy(*by).agg(F.count("x").alias("n"), F.avg("x").alias("mean_ms"))
+    q = exact_quantiles(rows, {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}, by).toDF(*(f"q_{c}" for c in by), "p50_ms", "p95_ms", "p99_ms")
+    out = out.join(q, [F.col(c).eqNullSafe(F.col(f"q_{c}")) for c in by], "left").select(*by, "n", "mean_ms", "p50_ms", "p95_ms", "p99_ms")
     return out.withColumn("delay_steps", F.ceil(F.col("p95_ms") * hz / 1000))
 
 
@@ -218,10 +244,15 @@ def quality_gates(metrics: DataFrame, usage: DataFrame, adapter: str, bridge: st
     return rows.select("split", "improvement_normalized_mae", "improvement_shoulder_mae", "improvement_motion_ratio", "saturation", passed.alias("passed"))
 
 
-def chunk_loss_terms(chunks: DataFrame, widths: Sequence[float], bounds: Sequence[float], active: Sequence[int], *, beta: float = 0.05, weights: tuple[float, float, float] = (1.0, 0.05, 0.01)) -> DataFrame:
+#: Metres and radians over which errors of poses are taken.
+POSE_SCALES = (0.05, 0.25)
+
+
+def chunk_loss_terms(chunks: DataFrame, widths: Sequence[float], bounds: Sequence[float], active: Sequence[int], *, beta: float = 0.05, weights: tuple[float, float, float] = (1.0, 0.05, 0.01), poses: DataFrame | None = None, pose_weight: float = 0.25) -> DataFrame:
     """(split, samples, joint_loss, velocity_loss, residual_loss, loss) from chunks (episode_index, frame_index,
     split; corrected, target, residual: arrays of arrays): smooth-L1 of errors over ranges and of errors of consecutive steps, squared share of the residual's bound.
-    weights: of these three; a loss of poses can be added by who has poses."""
+    weights: of these three. poses (split, side, position, target_position: three numbers in m; rotation, target_rotation: nine) of
+    the chunks' steps add pose_loss, the mean over sides of position and orientation errors, over POSE_SCALES and smoothed alike."""
     at = lambda v, j: F.element_at(F.array(*(F.lit(max(float(x), 1e-6)) for x in v)), j + 1)
     steps = chunks.select("split", F.struct("episode_index", "frame_index").alias("sample"), F.posexplode(F.arrays_zip("corrected", "target", "residual")).alias("k", "s"))
     rows = steps.select("split", "sample", "k", F.posexplode(F.arrays_zip(F.col("s.corrected").alias("p"), F.col("s.target").alias("t"), F.col("s.residual").alias("r"))).alias("joint", "v"))
@@ -232,4 +263,12 @@ def chunk_loss_terms(chunks: DataFrame, widths: Sequence[float], bounds: Sequenc
     out = rows.groupBy("split").agg(
         F.count_distinct("sample").alias("samples"), F.avg(smooth_l1(F.col("e"), beta)).alias("joint_loss"), F.coalesce(F.avg(smooth_l1(F.col("de"), beta)), F.lit(0.0)).alias("velocity_loss"), F.avg(F.col("r") * F.col("r")).alias("residual_loss")
     )
-    return out.withColumn("loss", weights[0] * F.col("joint_loss") + weights[1] * F.col("velocity_loss") + weights[2] * F.col("residual_loss"))
+    extra = F.lit(0.0)
+    if poses is not None:
+        near = lambda x: smooth_l1(x, beta)
+        place = F.aggregate(F.transform(minus("position", "target_position"), lambda d: near(d / POSE_SCALES[0])), F.lit(0.0), lambda s, x: s + x) / 3
+        angle = F.radians(geodesic_degrees(F.col("rotation"), F.col("target_rotation")))
+        sides = poses.groupBy("split", "side").agg(F.avg(place).alias("p"), F.avg(near(angle / POSE_SCALES[1])).alias("o"))
+        out = out.join(sides.groupBy("split").agg(F.avg((F.col("p") + F.col("o")) / 2).alias("pose_loss")), "split", "left")
+        extra = pose_weight * F.coalesce("pose_loss", F.lit(0.0))
+    return out.withColumn("loss", extra + weights[0] * F.col("joint_loss") + weights[1] * F.col("velocity_loss") + weights[2] * F.col("residual_loss"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cadenza.operators.frames import reindex
 from cadenza.operators.joints import joint_groups
 from cadenza.scan import Segments
+from cadenza.shared import stash
 
 #: The start's usual offset from its event, by mode.
 OFFSETS = {"motion": -10, "displacement": 0, "gripper": -15}
@@ -21,6 +22,8 @@ OFFSETS = {"motion": -10, "displacement": 0, "gripper": -15}
 
 @dataclass(frozen=True)
 class MotionTrimConfig:
+    """The usual settings of a motion trim."""
+
     start_mode: str = "motion"
     baseline_frames: int = 15
     sustain_frames: int = 5
@@ -142,6 +145,7 @@ def trim_summary(plan: DataFrame, names: Sequence[str], config: MotionTrimConfig
     """One row: frames in, out and removed, seconds removed, the episode whose arm starts nearest to the median start (the
     first of equals), the population deviation of each arm joint's start, and whether a start must be staged."""
     arm, _ = joint_groups(names)
+    plan = stash(plan.select("episode_index", "frames", "kept_frames", "start_state"), "plan")  # read four times
     starts = plan.select("episode_index", *(F.element_at("start_state", j + 1).cast("double").alias(f"j{j}") for j in arm))
     centre = starts.agg(F.array(*(F.percentile(f"j{j}", 0.5) for j in arm)).alias("m")).scalar()
     starts = starts.withColumn("m", centre)

@@ -100,23 +100,30 @@ def attach_split(rows: DataFrame, splits: DataFrame, *, manual: DataFrame | None
     return rows.join(splits, "episode_index", "left")
 
 
-def episode_spec(spec: str, total: int, *, base: int = 0) -> list[int]:
-    """Episodes of a text like '1,3:5,8': numbers and ranges without their end, counted from `base`; open ranges go to
+def spec_ranges(spec: str, total: int, *, base: int = 0) -> list[tuple[int, int]]:
+    """Half-open ranges of a text like '1,3:5,8': numbers and ranges without their end, counted from `base`; open ranges go to
     either end. Out of bounds, empty ranges and other texts are errors."""
-    found: set[int] = set()
+    out = []
     for part in filter(None, (p.strip() for p in spec.split(","))):
         first, colon, last = (x.strip() for x in part.partition(":"))
         lo = int(first) if first or not colon else base
         hi = (int(last) if last else total + base) if colon else lo + 1
         if lo >= hi or lo < base or hi > total + base:
             raise ValueError(f"{part} isn't within episodes {base} to {total + base - 1}")
-        found.update(range(lo, hi))
-    return sorted(found)
+        out.append((lo, hi))
+    return out
+
+
+def episode_spec(spec: str, total: int, *, base: int = 0) -> list[int]:
+    """The episodes of spec_ranges, sorted, once each."""
+    return sorted({i for lo, hi in spec_ranges(spec, total, base=base) for i in range(lo, hi)})
 
 
 def select_episodes(rows: DataFrame, spec: str, total: int, *, base: int = 0, skip: bool = False) -> DataFrame:
-    """rows of the episodes in the text, or of the others."""
-    wanted = F.col("episode_index").isin([i - base for i in episode_spec(spec, total, base=base)])
+    """rows of the episodes in the text, or of the others; a predicate a range, which files are pruned by."""
+    wanted = F.lit(False)
+    for lo, hi in spec_ranges(spec, total, base=base):
+        wanted = wanted | ((F.col("episode_index") >= lo - base) & (F.col("episode_index") < hi - base))
     return rows.filter(~wanted if skip else wanted)
 
 

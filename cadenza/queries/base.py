@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.operators import coverage, frames, metrics, splits
@@ -161,6 +161,15 @@ VECTORS = f"""{FRAMES}, vectors AS (
 ), joints AS (
   SELECT episode_index, frame_index, unnest([0, 1, 2, 3]) AS joint, unnest(action) AS a, unnest(state) AS s FROM vectors
 )"""
+#: A frame's and the three next values of each joint, the last one held beyond the end, added up by their place; chunk_digest
+#: is the same for chunks of four, so that an order that is wrong shows.
+CHUNK_STEPS = f"""WITH {VECTORS}, l AS (SELECT *, last_value(a) OVER (PARTITION BY episode_index, joint ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS z FROM joints), k AS (SELECT episode_index, frame_index, joint, s, a + 2 * coalesce(lead(a, 1) OVER w, z) + 3 * coalesce(lead(a, 2) OVER w, z) + 4 * coalesce(lead(a, 3) OVER w, z) AS c FROM l WINDOW w AS (PARTITION BY episode_index, joint ORDER BY frame_index))"""
+
+
+def chunk_digest(chunk: Column) -> Column:
+    own = lambda v: F.aggregate(F.transform(v, lambda x, j: (j + 1) * x.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    return F.aggregate(F.transform(chunk, lambda v, k: (k + 1) * own(v)), F.lit(0.0), lambda s, x: s + x)
+
 PREDICTIONS = """predictions AS (
   SELECT label AS episode_index, CASE label % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END AS split_label, vec_id AS frame_index, vec_id // 100 AS chunk_id, embedding AS e FROM embeddings
 ), pj AS (

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from cadenza.operators import audit, coverage, joints, motion, splits
 from cadenza.operators.metrics import feature_stats as stats_of
 from cadenza.operators.vectors import quantile_scaled, standardized
-from cadenza.queries.base import COVERAGE, FRAMES, LIMITS, MESSAGES, NAMES, VECTORS, messages, query, read, rounded, supplier_frames, vector_frames
-from cadenza.shared import shared_path
+from cadenza.queries.base import CHUNK_STEPS, COVERAGE, FRAMES, LIMITS, MESSAGES, NAMES, VECTORS, chunk_digest, messages, query, read, rounded, supplier_frames, vector_frames
+from cadenza.shared import shared_path, stash
 from cadenza.sources import datasets
 
 K, SUSTAIN = 15, 3
@@ -36,7 +36,8 @@ def overrides(spark, sf_dir):
 
 
 def plan_of(spark, sf_dir):
-    return motion.build_trim_plan(vector_frames(spark, sf_dir), NAMES, CONFIG, overrides(spark, sf_dir))
+    """Written once: frames are ranked for it, and those who use a plan read it more than once."""
+    return stash(motion.build_trim_plan(vector_frames(spark, sf_dir), NAMES, CONFIG, overrides(spark, sf_dir)), "plan")
 
 
 @query(f"WITH {EDGES} SELECT episode_index, n AS frames, joint, round(i, 6) AS initial, round(f, 6) AS final FROM e")
@@ -51,11 +52,11 @@ def detect_motion_window(spark, sf_dir):
     return motion.detect_motion_window(vector_frames(spark, sf_dir), NAMES, CONFIG).withColumnRenamed("end", "stop")
 
 
-@query(f"""WITH {PLAN} SELECT p.episode_index, p.s AS start, p.e AS stop, p.e - p.s AS kept_frames, p.s AS removed_start_frames, p.n - p.e AS removed_end_frames, p.episode_index % 5 = 0 AS manual_override, round(v.state[1], 6) AS start_state
+@query(f"""WITH {PLAN} SELECT p.episode_index, p.s AS start, p.e AS stop, p.e - p.s AS kept_frames, p.s AS removed_start_frames, p.n - p.e AS removed_end_frames, p.episode_index % 5 = 0 AS manual_override, round(v.state[1] + 2 * v.state[2] + 3 * v.state[3] + 4 * v.state[4], 7) AS start_state, round(v.action[1] + 2 * v.action[2] + 3 * v.action[3] + 4 * v.action[4], 7) AS start_action
 FROM plan p JOIN vectors v ON v.episode_index = p.episode_index AND v.frame_index = p.s""")
 def build_trim_plan(spark, sf_dir):
     found = plan_of(spark, sf_dir).withColumnRenamed("end", "stop")
-    return found.select("episode_index", "start", "stop", "kept_frames", "removed_start_frames", "removed_end_frames", "manual_override", F.round(F.col("start_state")[0], 6).alias("start_state"))
+    return found.select("episode_index", "start", "stop", "kept_frames", "removed_start_frames", "removed_end_frames", "manual_override", *(F.round(sum((F.lit(j + 1) * F.col(c)[j] for j in range(4)), F.lit(0.0)), 7).alias(c) for c in ("start_state", "start_action")))
 
 
 @query(f"""WITH {PLAN}, k AS (SELECT v.episode_index, v.frame_index AS source_frame_index, v.frame_index - s AS frame_index FROM vectors v JOIN plan p ON v.episode_index = p.episode_index AND v.frame_index >= s AND v.frame_index < e)
@@ -67,10 +68,10 @@ def apply_trim(spark, sf_dir):
 
 @query(f"""WITH {PLAN}, st AS (SELECT p.*, v.state FROM plan p JOIN vectors v ON v.episode_index = p.episode_index AND v.frame_index = p.s), c AS (SELECT quantile_cont(state[1], 0.5) AS a, quantile_cont(state[2], 0.5) AS b, quantile_cont(state[4], 0.5) AS d FROM st)
 SELECT sum(n)::BIGINT AS input_frames, sum(st.e - s)::BIGINT AS output_frames, (sum(n) - sum(st.e - s))::BIGINT AS removed_frames, round((sum(n) - sum(st.e - s)) / 30.0::DOUBLE, 6) AS removed_seconds,
-arg_min(episode_index, (sqrt((state[1] - a) ** 2 + (state[2] - b) ** 2 + (state[4] - d) ** 2), episode_index)) AS representative_start_episode, round(stddev_pop(state[1]), 6) AS first_std, false AS requires_staged_start FROM st, c""")
+arg_min(episode_index, (sqrt((state[1] - a) ** 2 + (state[2] - b) ** 2 + (state[4] - d) ** 2), episode_index)) AS representative_start_episode, round(stddev_pop(state[1]) + 2 * stddev_pop(state[2]) + 3 * stddev_pop(state[4]), 6) AS arm_std, false AS requires_staged_start FROM st, c""")
 def trim_summary(spark, sf_dir):
     found = motion.trim_summary(plan_of(spark, sf_dir), NAMES, CONFIG)
-    found = rounded(found, "removed_seconds").withColumn("first_std", F.round(F.col("arm_start_std")[0], 6))
+    found = rounded(found, "removed_seconds").withColumn("arm_std", F.round(sum((F.lit(k + 1) * F.col("arm_start_std")[k] for k in range(3)), F.lit(0.0)), 6))
     return found.drop("arm_start_std")
 
 
@@ -238,13 +239,14 @@ def latest_image_per_camera(spark, sf_dir):
     return audit.latest_image_per_camera(images, roles).select("role", "status", "path", "aspect")
 
 
-@query("SELECT s_suppkey AS episode_index, s_suppkey % 10 < 3 AS shoulder, 3 + (s_suppkey % 3 = 0)::INTEGER AS position FROM supplier")
+@query("""WITH n AS (SELECT s_suppkey AS i, CASE WHEN s_suppkey % 3 = 0 THEN 'left_finger_joint1_' ELSE 'right_joint_' || (s_suppkey % 10 + 1) || '.pos_' END || printf('%06d', s_suppkey) AS name FROM supplier)
+SELECT i AS episode_index, i % 3 <> 0 AND i % 10 < 3 AS shoulder, row_number() OVER (ORDER BY (i % 3 = 0), name) - 1 AS position FROM n""")
 def joint_masks(spark, sf_dir):
-    """Shoulder joints are 1 to 3; the finger joint is displayed last."""
-    rows = suppliers(spark, sf_dir)
-    name = F.concat(F.lit("right_joint_"), (F.col("episode_index") % 10 + 1).cast("string"), F.lit(".pos"))
-    place = F.size(F.array(*(F.lit(x) for x in joints.joint_groups(["a_joint", "b_joint", "c_joint", "d_gripper"])[0])))
-    return rows.select("episode_index", joints.shoulder_mask(name).alias("shoulder"), (place + (F.col("episode_index") % 3 == 0).cast("int")).alias("position"))
+    """Shoulder joints are 1 to 3; finger joints are displayed last."""
+    i = F.col("episode_index")
+    name = F.when(i % 3 == 0, "left_finger_joint1_").otherwise(F.concat(F.lit("right_joint_"), (i % 10 + 1).cast("string"), F.lit(".pos_")))
+    rows = suppliers(spark, sf_dir).select("episode_index", F.concat(name, F.format_string("%06d", i)).alias("name"))
+    return joints.display_joint_order(rows).select("episode_index", joints.shoulder_mask(F.col("name")).alias("shoulder"), "position")
 
 
 @query(f"WITH {MESSAGES} SELECT episode_index, topic, event_id FROM (SELECT *, row_number() OVER (PARTITION BY episode_index, topic ORDER BY us, event_id) AS k FROM messages) WHERE k <= 3")
@@ -252,35 +254,36 @@ def first_messages(spark, sf_dir):
     return joints.first_rows(messages(spark, sf_dir), ["episode_index", "topic"], ["us", "event_id"], 3).select("episode_index", "topic", "event_id")
 
 
-@query(f"""WITH {VECTORS}, st AS (SELECT avg(a) AS m, stddev_pop(a) AS sd, quantile_cont(a, 0.01) AS lo, quantile_cont(a, 0.99) AS hi FROM joints WHERE joint = 0)
-SELECT episode_index, frame_index, round((a - m) / sd, 5) + 0.0 AS standard, round(2 * (a - lo) / (hi - lo) - 1, 5) + 0.0 AS scaled FROM joints, st WHERE joint = 0 AND frame_index % 10 = 0""")
+@query("""WITH j AS MATERIALIZED (SELECT l_suppkey AS episode_index, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS frame_index, l_quantity::DOUBLE / 10 AS a FROM lineitem),
+st AS (SELECT avg(a) AS m, stddev_pop(a) AS sd, quantile_cont(a, 0.01) AS lo, quantile_cont(a, 0.99) AS hi FROM j)
+SELECT episode_index, frame_index, round((a - m) / sd, 5) + 0.0 AS standard, round(2 * (a - lo) / (hi - lo) - 1, 5) + 0.0 AS scaled FROM j, st""")
 def normalised_features(spark, sf_dir):
     """The first joint by the statistics of the whole table."""
     rows = vector_frames(spark, sf_dir)
     s = stats_of(rows.select(F.slice("action", 1, 1).alias("action")), "action").select(F.struct("mean", "std", "q01", "q99")).scalar()
     x = F.col("action")[0]
-    rows = rows.filter("frame_index % 10 = 0").withColumn("s", s)
+    rows = rows.withColumn("s", s)
     out = {"standard": standardized(x, F.col("s.mean"), F.col("s.std")), "scaled": quantile_scaled(x, F.col("s.q01"), F.col("s.q99"))}
     return rows.select("episode_index", "frame_index", *((F.round(v, 5) + 0.0).alias(c) for c, v in out.items()))
 
 
-@query(f"WITH {VECTORS} SELECT episode_index, frame_index, round(action[1], 6) AS first, round(state[1], 6) AS state FROM vectors WHERE frame_index % 9 = 0")
+@query(f"WITH {VECTORS} SELECT episode_index, frame_index, round(action[1] + 2 * action[2] + 3 * action[3] + 4 * action[4], 7) AS action, round(state[1] + 2 * state[2] + 3 * state[3] + 4 * state[4], 7) AS state, 2 * frame_index AS twice FROM vectors")
 def dataset_round_trip(spark, sf_dir):
-    """Frames and features written as a dataset and read back, through steps that drop a column and keep every ninth frame."""
+    """Frames and features written as a dataset and read back, through steps that drop a column and add one."""
     rows = vector_frames(spark, sf_dir).withColumn("spare", F.lit(1))
     features = datasets.define_features({"right": NAMES[:3], "left": NAMES[3:]})
-    steps = [datasets.DropFeatures(["spare"]), datasets.Derive("every_ninth", lambda df: df.filter("frame_index % 9 = 0"))]
+    steps = [datasets.DropFeatures(["spare"]), datasets.Derive("twice", lambda df: df.withColumn("twice", F.col("frame_index") * 2))]
     kept, features = datasets.run_steps(rows, features, steps)
     root = shared_path(spark, "dataset")
     datasets.write_frames(kept, root)
     datasets.write_metadata(spark, root, features, fps=30)
     back, _ = datasets.read_dataset(spark, root)
-    return back.select("episode_index", "frame_index", F.round(F.col("action")[0], 6).alias("first"), F.round(F.col("state")[0], 6).alias("state"))
+    return back.select("episode_index", "frame_index", *(F.round(sum((F.lit(j + 1) * F.col(c)[j] for j in range(4)), F.lit(0.0)), 7).alias(c) for c in ("action", "state")), "twice")
 
 
-@query(f"WITH {VECTORS} SELECT episode_index, frame_index, round(sum(a) OVER w + (4 - count(*) OVER w) * last_value(a) OVER w, 4) AS total FROM joints WHERE joint = 0 AND true WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) QUALIFY frame_index % 5 = 0")
+@query(f"{CHUNK_STEPS} SELECT episode_index, frame_index, round(sum((joint + 1) * c), 6) AS digest FROM k WHERE frame_index % 5 = 0 GROUP BY ALL")
 def chunk_samples(spark, sf_dir):
     """Chunks of every fifth frame, with their shape checked."""
     cache = datasets.chunk_samples(vector_frames(spark, sf_dir), stride=5, size=4)
     cache = datasets.checked_chunks(cache, ["current_state", "target_chunk"], size=4, width=4)
-    return cache.select("episode_index", "frame_index", F.round(F.aggregate("target_chunk", F.lit(0.0), lambda s, a: s + a[0]), 4).alias("total"))
+    return cache.select("episode_index", "frame_index", F.round(chunk_digest(F.col("target_chunk")), 6).alias("digest"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cadenza.operators import deltas, metrics
 from cadenza.operators.frames import assign_chunks
-from cadenza.queries.base import PREDICTIONS, VECTORS, predictions, query, read, rounded, vector_frames
+from cadenza.queries.base import CHUNK_STEPS, PREDICTIONS, VECTORS, chunk_digest, predictions, query, read, rounded, vector_frames
 
 MOST, SHOULDERS = 0.5, [0, 1, 2]
 ERRORS = f"{PREDICTIONS}, je AS (SELECT episode_index, split_label, joint, avg((p - t) ** 2) AS mse, avg(abs(p - t)) AS mae FROM pj GROUP BY ALL)"
@@ -144,17 +144,17 @@ def delta_action_stats(spark, sf_dir):
     return rounded(deltas.delta_action_stats(vector_frames(spark, sf_dir), n_steps=3, excluded=[2]), "mean", "std", "min", "max")
 
 
-@query(f"WITH {VECTORS} SELECT episode_index, frame_index, round(sum(a) OVER w + (4 - count(*) OVER w) * last_value(a) OVER w, 6) AS total FROM joints WHERE joint = 0 WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)")
+@query(f"{CHUNK_STEPS} SELECT episode_index, frame_index, round(sum((joint + 1) * c), 6) AS digest FROM k GROUP BY ALL")
 def target_chunk(spark, sf_dir):
     rows = deltas.target_chunk(vector_frames(spark, sf_dir), 4)
-    return rows.select("episode_index", "frame_index", F.round(F.aggregate("chunk", F.lit(0.0), lambda s, a: s + a[0]), 6).alias("total"))
+    return rows.select("episode_index", "frame_index", F.round(chunk_digest(F.col("chunk")), 6).alias("digest"))
 
 
-@query(f"WITH {VECTORS} SELECT episode_index, frame_index, round(sum(a) OVER w + (4 - count(*) OVER w) * last_value(a) OVER w - 4 * s, 4) + 0.0 AS total FROM joints WHERE joint = 0 WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)")
+@query(f"{CHUNK_STEPS} SELECT episode_index, frame_index, round(sum((joint + 1) * (c - CASE WHEN joint IN (0, 3) THEN 10 * s ELSE 0 END)), 7) + 0.0 AS digest FROM k GROUP BY ALL")
 def relative_chunk(spark, sf_dir):
     rows = deltas.target_chunk(vector_frames(spark, sf_dir), 4)
     chunk = deltas.relative_chunk(F.col("chunk"), F.col("state"), [True, False, False, True])
-    return rows.select("episode_index", "frame_index", (F.round(F.aggregate(chunk, F.lit(0.0), lambda s, a: s + a[0]), 4) + 0.0).alias("total"))
+    return rows.select("episode_index", "frame_index", (F.round(chunk_digest(chunk), 7) + 0.0).alias("digest"))
 
 
 @query(f"WITH {VECTORS}, x AS (SELECT episode_index, joint, s + greatest(-1, least(1, a - s)) AS x FROM joints) {MEANS}")
