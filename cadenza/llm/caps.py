@@ -7,7 +7,9 @@ half code words. The list is found from the two halves' products without looking
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +28,20 @@ TABLES, WORDS, CAP, SEED = 16, 96, 3.36, 42
 RECALL, PAIRS = 0.999, 4000
 #: Vectors of a filter that are compared in one piece with those of another.
 BLOCK = 512
+#: Filters that a vector is to meet, about; WORDS is right up to MANY vectors, beyond which filters would have several blocks.
+LISTED = 40
+MANY = TABLES * WORDS * WORDS * BLOCK // LISTED
+
+
+def words_for(vectors: int, tables: int = TABLES) -> int:
+    """Code words of a half, so that a filter's members stay within about a block whatever the number of vectors. Filters grow
+    in number with the vectors and their caps get smaller, so that a vector still meets about LISTED of them."""
+    return max(WORDS, math.isqrt(LISTED * vectors // (BLOCK * tables)) + 1 if vectors > MANY else 0)
 
 
 class Filters:
-    """Without a cap: CAP deviations, or less where RECALL asks for it. A given cap that doesn't meet RECALL is an error."""
+    """Without a cap: CAP deviations, or with more than WORDS words what LISTED filters a vector ask for, and less in either case
+    where RECALL asks for it. A given cap that doesn't meet RECALL is an error."""
 
     def __init__(self, dimensions: int, tables: int = TABLES, words: int = WORDS, cap: float | None = None, seed: int = SEED, threshold: float = THRESHOLD) -> None:
         rng = np.random.default_rng(seed)
@@ -40,12 +52,31 @@ class Filters:
             halves = [rng.normal(size=(words, d)) for d in (self.half, dimensions - self.half) if d]
             self.codes.append([h / np.linalg.norm(h, axis=1, keepdims=True) / np.sqrt(len(halves)) for h in halves])
 
-        shared = np.sort(self.shared_caps(*self.pairs(dimensions, threshold, seed + 1)))
+        x, y = self.pairs(dimensions, threshold, seed + 1)
+        if words > WORDS:
+            self.cap = self.fitted(x, y) if cap is None else cap
+            if cap is not None and self.recall(x, y) < RECALL:
+                raise ValueError(f"cap {cap} finds less than {RECALL} of the pairs at {threshold} in {dimensions} dimensions")
+            return
+        shared = np.sort(self.shared_caps(x, y))
         most = float(shared[int((1 - RECALL) * len(shared))])
         if cap is not None and cap > most:
             raise ValueError(f"cap {cap} finds less than {RECALL} of the pairs at {threshold} in {dimensions} dimensions; {most:.4f} does")
         self.cap = min(CAP / np.sqrt(dimensions), most) if cap is None else cap
 
+    def recall(self, x: np.ndarray, y: np.ndarray) -> float:
+        """The share of pairs that meet in a filter at the present cap."""
+        every = len(self.turns) * self.words * self.words
+        keys = [row * every + found for row, found in (self.decode(v) for v in (x, y))]
+        return len(np.unique(np.intersect1d(*keys) // every)) / len(x)
+
+    def fitted(self, x: np.ndarray, y: np.ndarray) -> float:
+        """The cap of LISTED filters a vector, or the next smaller one that finds RECALL of the pairs."""
+        self.cap = -NormalDist().inv_cdf(LISTED / (len(self.turns) * self.words * self.words)) / np.sqrt(x.shape[1])
+        while self.recall(x, y) < RECALL:
+            self.cap -= 0.05 / np.sqrt(x.shape[1])
+        return self.cap
+
     @staticmethod
     def pairs(dimensions: int, cosine: float, seed: int, n: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
         """n random pairs of unit vectors with the given cosine."""
@@ -119,14 +150,16 @@ def roots(pairs: np.ndarray, n: int) -> np.ndarray:
         label = after
 
 
-def links(nodes: DataFrame, *, threshold: float = THRESHOLD, tables: int = TABLES, words: int = WORDS, cap: float | None = None) -> DataFrame:
+def links(nodes: DataFrame, *, threshold: float = THRESHOLD, tables: int = TABLES, words: int | None = None, cap: float | None = None) -> DataFrame:
     """(node, others, root) from distinct vectors (node, v, n copies): for each node of a block of a filter, the copies of
     other nodes that are found here, and nowhere before, with a cosine of at least the threshold, and the smallest node
     that it is connected with by these. Rows go with the nodes of blocks, never with pairs.
 
     A filter's members are dealt to blocks of about BLOCK, and each two blocks are compared by themselves, so a filter
-    that a third of all vectors exceed is spread over many tasks.
+    that a third of all vectors exceed is spread over many tasks. Without words, there are as many as the number of
+    vectors asks for.
     """
+    words = words_for(nodes.count(), tables) if words is None else words
     first = nodes.select(F.size("v").alias("d")).first()
     shared = nodes.sparkSession.sparkContext.broadcast(Filters(first["d"] if first else 2, tables, words, cap, threshold=threshold))
 
@@ -197,7 +230,7 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str
 
     Equal vectors are one node with a count, so copies aren't expanded into pairs. Rows that take no part have no links
     and are a component of their own; a null id has a null component and isn't kept; rows repeated with one id count as
-    vectors of their own.
+    vectors of their own. Other columns, whatever their names, are left out.
     """
     rows = stash(usable(vectors, id_col=id_col, vec_col=vec_col), "vectors")
     nodes = stash(rows.groupBy("v").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n")), "nodes")

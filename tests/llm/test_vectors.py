@@ -120,3 +120,22 @@ def test_caps_recall_at_other_dimensions(d):
 def test_cap_that_misses_is_an_error():
     with pytest.raises(ValueError):
         caps.Filters(256, cap=0.42)
+
+
+def test_filters_grow_with_the_vectors():
+    """At 100 times the vectors, filters have no more members, vectors meet no more than twice the filters, and pairs at the
+    threshold are found."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    few = caps.MANY
+    assert caps.words_for(few) == caps.words_for(1000) == caps.WORDS
+    met, members = [], []
+    for n in (few, 100 * few):
+        words = caps.words_for(n)
+        filters = caps.Filters(64, words=words)
+        met.append(len(filters.decode(x)[0]) / len(x))
+        members.append(n * met[-1] / (caps.TABLES * words * words))
+        a, b = filters.pairs(64, caps.THRESHOLD, 99, 2000)
+        assert filters.recall(a, b) >= 0.99
+    assert met[1] <= 2 * met[0] and members[1] <= 2 * caps.BLOCK, (met, members)
