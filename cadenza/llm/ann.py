@@ -138,7 +138,9 @@ def distinct(ids: np.ndarray, packed_rows: list[bytes]) -> np.ndarray:
 
 def search(index: DataFrame, model: Books | None, queries: DataFrame, *, k: int = 20, share: float = SHARE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest inner product that are found for each usable query, the
-    query's own id left out; ties go to the smaller id. Fewer rows than k: all of them."""
+    query's own id left out; ties go to the smaller id. Fewer rows than k: all of them. Rows with a null id, and vectors that
+    are null, zero or hold null or non-finite components, take no part on either side; repeated rows are one. Vectors of any
+    length are taken whole. Other columns, whatever their names, are left out."""
     spark = index.sparkSession
     if model is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -87,7 +87,7 @@ def format_turns(turns: DataFrame, tokenizer_json: str, *, learnt: tuple[str, ..
     """(conv_id, turn, ids, mask) per row of turns. Each row is encoded by itself, so a conversation of any length is
     spread over all tasks. Null text and null role count as empty; an unknown role is spelt out between two reserved
     ids; rows with a null conversation form one of their own, and a null turn comes first. mask is 1 on the tokens of
-    the learnt roles' texts."""
+    the learnt roles' texts. Other columns, whatever their names, are left out; very long texts are encoded whole."""
     spark = turns.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer_json)
 
@@ -107,7 +107,7 @@ def format_turns(turns: DataFrame, tokenizer_json: str, *, learnt: tuple[str, ..
 def digests(formatted: DataFrame, tokenizer_json: str) -> DataFrame:
     """One row per conversation, read back from its formatted turns in order: number of turns, SHA-256 of all turns and
     of the text under the mask, and lengths. Rows of a conversation pass by one at a time in sorted order and only the
-    running digests are held; turns of the same number are ordered by their ids."""
+    running digests are held; turns of the same number are ordered by role and text."""
     spark = formatted.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer_json)
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]

@@ -36,7 +36,8 @@ def record_id(page_id: Column) -> Column:
 def records(pages: DataFrame, *, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """(record string): a response for each page (page_id, url, html), or a revisit where a smaller page_id has the
     same payload of min_bytes bytes or more. Null html is an empty payload; a null url leaves out the target; rows
-    repeated with one page_id and payload are responses alike; a null page_id is larger than any other."""
+    repeated with one page_id and payload are responses alike; a null page_id is larger than any other. A
+    payload is one row's value, so at most 2 GB long; other columns, whatever their names, are left out."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("digest", base32_sha1(F.col("html").cast("binary"))).withColumn("bytes", F.octet_length("html").cast("long"))
     first = rows.groupBy("digest", "bytes").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
