@@ -45,9 +45,10 @@ def delta_chunk(chunk: Column, state: Column) -> Column:
     return F.transform(chunk, lambda a, k: minus(a, F.when(k == 0, state).otherwise(F.element_at(chunk, F.greatest(k, F.lit(1))))))
 
 
-def restore_delta(frames: DataFrame, action_type: str, *, chunk: str = "chunk_id", excluded: Sequence[int] = ()) -> DataFrame:
+def restore_delta(frames: DataFrame, action_type: str, *, chunk: str = "chunk_id", excluded: Sequence[int] = (), width: int | None = None) -> DataFrame:
     """frames (delta, and state: the observation at the chunk's start) with restored: the state plus the delta, or plus the
-    sum of the chunk's deltas so far. Sums run over joints side by side, as one window over the chunk."""
+    sum of the chunk's deltas so far. The joints' sums share one window over the chunk; width is the number of joints, which
+    is looked up where it isn't given."""
     if action_type == "absolute":
         return frames.withColumn("restored", F.col("delta"))
     if action_type not in ("delta_obs_t", "delta_sequential"):
@@ -57,13 +58,13 @@ def restore_delta(frames: DataFrame, action_type: str, *, chunk: str = "chunk_id
     if action_type == "delta_obs_t":
         whole = plus("delta", state)
         return frames.withColumn("restored", F.transform(F.arrays_zip(whole.alias("w"), F.col("delta").alias("d")), lambda x, i: F.when(i.isin(list(excluded)), x["d"].cast("double")).otherwise(x["w"])) if excluded else whole)
-    joints = frames.select("*", state.alias("_state"), F.posexplode("delta").alias("_joint", "_d"))
-    running = Window.partitionBy("episode_index", chunk, "_joint").orderBy("frame_index").rowsBetween(Window.unboundedPreceding, 0)
-    own = F.when(F.col("_joint").isin(list(excluded)), F.col("_d").cast("double")) if excluded else F.lit(None).cast("double")
-    joints = joints.withColumn("_x", F.coalesce(own, F.element_at("_state", F.col("_joint") + 1).cast("double") + F.sum(F.col("_d").cast("double")).over(running)))
-    out = joints.groupBy("episode_index", chunk, "frame_index").agg(F.array_sort(F.collect_list(F.struct("_joint", "_x"))).alias("_s"))  # one entry a joint
-    out = out.select("episode_index", chunk, "frame_index", F.transform("_s", lambda s: s["_x"]).alias("restored"))
-    return frames.join(out, ["episode_index", chunk, "frame_index"])
+    width = width or frames.select(F.max(F.size("delta"))).first()[0] or 1
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    sums = F.array(*(F.sum(F.get("delta", F.lit(j)).cast("double")).over(running) for j in range(width)))
+    rows = frames.withColumns({"_state": state, "_sums": F.slice(sums, 1, F.size("delta"))})
+    summed = F.zip_with("_state", "_sums", lambda s, x: s.cast("double") + x)
+    own = F.transform("delta", lambda d, j: F.when(j.isin(list(excluded)), d.cast("double")).otherwise(F.get(summed, j))) if excluded else F.slice(summed, 1, F.size("delta"))
+    return rows.withColumn("restored", own).drop("_state", "_sums")
 
 
 def delta_action_stats(frames: DataFrame, *, n_steps: int = 1, state_of: Sequence[int | None] | None = None, excluded: Sequence[int] = ()) -> DataFrame:
