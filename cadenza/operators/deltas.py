@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cadenza.operators.vectors import clip, minus, norm, plus
 from cadenza.scan import BLOCK, Segments, overlapping
+from cadenza.shared import fresh
 
 #: Fixed value: the least deviation that statistics give.
 LEAST_STD = 1e-6
@@ -137,6 +138,31 @@ def deadband(frames: DataFrame, threshold: float, value: str = "action") -> Data
     return rows.mapInArrow(fold, "episode_index long, frame_index long, out array<double>").select("episode_index", "frame_index", F.posexplode("out").alias("joint", "published"))
 
 
+def recent_stats(rows: DataFrame, keys: Sequence[str], window: int) -> DataFrame:
+    """rows (step, step_change, step_count: the place) with their statistics over the last `window` rows of the keys. Places are
+    cut into chunks of `window`: the last rows are the end of one chunk and the beginning of the next, each of which a frame
+    that only grows adds up, so that a row costs the same however wide the window is, and nothing is subtracted."""
+    part, ends, begins, place = (fresh(rows, c) for c in ("chunk", "ends", "begins", "place"))
+    sums = lambda over: F.struct(*(a.over(over).alias(n) for n, a in {"n": F.count("step"), "sum": F.sum("step"), "var": F.var_pop("step"), "max": F.max("step"), "changes": F.count("step_change"), "change": F.sum("step_change"), "most": F.max("step_change")}.items()))
+    within, ordered = Window.partitionBy(*keys, part), Window.partitionBy(*keys).orderBy(part, "frame_index")
+    upto = lambda *by: within.orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn(place, (F.col("step_count") - 1) % window).withColumn(part, F.floor((F.col("step_count") - 1) / window))
+    rows = rows.withColumn(ends, sums(upto(F.desc("frame_index")))).withColumn(begins, sums(upto("frame_index")))
+    # the last row of a chunk has all of it before itself
+    rows = rows.withColumn(ends, F.when(F.col(place) < window - 1, F.lag(ends, window - 1).over(ordered)))
+    x, y = (lambda c, f=f: F.coalesce(F.col(f"{f}.{c}"), F.lit(0)) for f in (ends, begins))
+    n, changes = x("n") + y("n"), x("changes") + y("changes")
+    apart = F.when((x("n") > 0) & (y("n") > 0), y("sum") / y("n") - x("sum") / x("n")).otherwise(0.0)
+    stats = {
+        "step_mean": (x("sum") + y("sum")) / n,
+        "step_std": F.sqrt((x("n") * x("var") + y("n") * y("var") + apart * apart * (x("n") / n) * y("n")) / n),
+        "step_max": F.greatest(f"{ends}.max", f"{begins}.max"),
+        "change_mean": F.when(changes > 0, (x("change") + y("change")) / changes),
+        "change_max": F.greatest(f"{ends}.most", f"{begins}.most"),
+    }
+    return rows.withColumns({c: F.when(n >= 2, a) for c, a in stats.items()}).drop(part, ends, begins, place)
+
+
 def smoothness(frames: DataFrame, *, window: int = 100, value: str = "action", segmented: bool = False, block: int = BLOCK) -> DataFrame:
     """frames with step (distance from the frame before), and over the last `window` steps their mean, population deviation
     and maximum, the mean and maximum of step_change (the change of the step), nulls until there are two steps; step_count,
@@ -154,10 +180,7 @@ def smoothness(frames: DataFrame, *, window: int = 100, value: str = "action", s
         rows = frames.withColumn("step_count", F.row_number().over(order).cast("long"))
         rows = rows.withColumn("clamped_count", F.sum(F.coalesce(F.col("clamped"), F.lit(False)).cast("int")).over(upto)) if clamped else rows
     rows = rows.withColumn("step", norm(minus(value, F.lag(value).over(order)))).withColumn("step_change", F.abs(F.col("step") - F.lag("step").over(order)))
-    recent = order.rowsBetween(-(window - 1), 0)
-    two = F.count("step").over(recent) >= 2
-    stats = {"step_mean": F.avg("step"), "step_std": F.stddev_pop("step"), "step_max": F.max("step"), "change_mean": F.avg("step_change"), "change_max": F.max("step_change")}
-    rows = rows.withColumns({c: F.when(two, a.over(recent)) for c, a in stats.items()})
+    rows = recent_stats(rows, ["episode_index", "block"] if segmented else ["episode_index"], window)
     if segmented:
         rows = rows.filter("NOT ghost").drop("block", "ghost")
     return rows.withColumn("clamped_pct", 100 * F.col("clamped_count") / F.col("step_count")).drop("clamped_count") if clamped else rows

@@ -90,3 +90,35 @@ def test_deadband_takes_linear_time(spark):
 
     took(20_000)
     assert took(160_000) < 8 * took(20_000) + 2
+
+
+def test_smoothness_costs_the_same_at_any_window(spark):
+    """Before, each row went through all rows of its window again."""
+    rows = spark.range(20_000).select(F.lit(1).alias("episode_index"), F.col("id").alias("frame_index"), F.array(F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000.0).alias("action")).repartition(1).cache()
+    rows.count()
+
+    def took(window):
+        began = time.perf_counter()
+        deltas.smoothness(rows, window=window).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - began
+
+    took(10)
+    assert took(8000) < 5 * took(10) + 1
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 7, 40])
+def test_smoothness_windows_against_brute_force(spark, window):
+    at = [None if k % 11 == 5 else [float(k * k % 17), k / 3] for k in range(30)]
+    rows = spark.createDataFrame([(e, k, a) for e, n in ((1, 30), (2, 8), (3, 1)) for k, a in enumerate(at[:n])], "episode_index long, frame_index long, action array<double>")
+    got = {(r.episode_index, r.frame_index): r for r in deltas.smoothness(rows, window=window).collect()}
+    assert len(got) == 39
+    for e, n in ((1, 30), (2, 8), (3, 1)):
+        step = [None if k == 0 or at[k] is None or at[k - 1] is None else sum((x - y) ** 2 for x, y in zip(at[k], at[k - 1], strict=True)) ** 0.5 for k in range(n)]
+        change = [None if k == 0 or step[k] is None or step[k - 1] is None else abs(step[k] - step[k - 1]) for k in range(n)]
+        for k in range(n):
+            last, moved = ([x for x in v[max(0, k - window + 1) : k + 1] if x is not None] for v in (step, change))
+            r = got[e, k]
+            mean = sum(last) / len(last) if last else 0
+            want = [mean, (sum((x - mean) ** 2 for x in last) / len(last)) ** 0.5, max(last)] if len(last) >= 2 else [None] * 3
+            want += [sum(moved) / len(moved), max(moved)] if len(last) >= 2 and moved else [None] * 2
+            assert [r.step_mean, r.step_std, r.step_max, r.change_mean, r.change_max] == [x if x is None else pytest.approx(x, abs=1e-9) for x in want]
