@@ -62,6 +62,12 @@ def tail(word: str) -> int:
     return zlib.crc32(word.encode()[-2:]) % TAILS
 
 
+def tails(words: pa.Array) -> np.ndarray:
+    """tail of each word; an ending's hash is taken once, however many words have it."""
+    ends = pc.binary_slice(words.cast(pa.binary()), -2).dictionary_encode()
+    return np.array([zlib.crc32(end) % TAILS for end in ends.dictionary.to_pylist()], np.int64)[ends.indices.to_numpy(zero_copy_only=False)]
+
+
 def tail_column(word: Column) -> Column:
     octets, n = word.cast("binary"), F.octet_length(word)
     return (F.crc32(F.substring(octets, F.greatest(n - 1, F.lit(1)), F.lit(2))) % TAILS).cast("int")
@@ -172,53 +178,64 @@ def windows(docs: list[np.ndarray], most: int, steps: int) -> Iterator[tuple[np.
 def forward(p: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
     """States of all steps, the last one, and what the way back needs. A document's first step starts from zero.
 
-    Gates are half of 1 + tanh. A token's rows of wx stand in for biases, too."""
-    gates = [w.take(x, axis=0) for w in p["wx"]]
-    (z, r, c), (uz, ur, uc) = gates, p["u"]
-    states, before, reset = np.empty_like(z), np.empty_like(z), np.empty_like(z)
+    Gates are half of 1 + tanh, which is 1 / (1 + exp(-2 a)). A token's rows of wx stand in for biases, too."""
+    u, uc = -2 * p["u"][:2], p["u"][2]
+    gates = (-2 * p["wx"][:2]).reshape(-1, h.shape[1]).take(np.stack([x, x + p["wx"].shape[1]]), axis=0)
+    c = p["wx"][2].take(x, axis=0)
+    states, before, reset = np.empty_like(c), np.empty_like(c), np.empty_like(c)
     new = x == BOS
     any_new = new.any(1).tolist()
-    some = np.empty_like(h)
-    for t in range(len(x)):
-        h0 = before[t]
-        h0[:] = h
-        if any_new[t]:
-            h0[new[t]] = 0
-        for gate, u in ((z[t], uz), (r[t], ur)):
-            np.matmul(h0, u, out=some)
-            gate += some
-            np.tanh(gate, out=gate)
-            gate *= 0.5
-            gate += 0.5
-        np.multiply(r[t], h0, out=reset[t])
-        np.matmul(reset[t], uc, out=some)
-        c[t] += some
-        np.tanh(c[t], out=c[t])
-        h = states[t]
-        np.subtract(c[t], h0, out=h)
-        h *= z[t]
-        h += h0
-    return states, h, (z, r, c, before, reset, new)
+    some, wide = np.empty_like(c[0]), np.empty_like(gates[:, 0])
+    with np.errstate(over="ignore"):  # 1 / (1 + inf) is 0
+        for t, (h0, own, kept, out) in enumerate(zip(before, c, reset, states, strict=True)):
+            h0[:] = h
+            if any_new[t]:
+                h0[new[t]] = 0
+            gate = gates[:, t]
+            np.matmul(h0, u, out=wide)
+            wide += gate
+            np.exp(wide, out=wide)
+            wide += 1
+            np.reciprocal(wide, out=gate)
+            np.multiply(gate[1], h0, out=kept)
+            np.matmul(kept, uc, out=some)
+            own += some
+            np.tanh(own, out=own)
+            np.subtract(own, h0, out=out)
+            out *= gate[0]
+            out += h0
+            h = out
+    return states, h, (gates, c, before, reset, new)
 
 
 def backward(p: dict, memory: tuple, d_states: np.ndarray, x: np.ndarray, grads: dict) -> None:
-    z, r, c, before, reset, new = memory
-    back = [u.T.copy() for u in p["u"]]
-    to_c, to_z, to_r, stay = z * (1 - c * c), 2 * (c - before) * z * (1 - z), 2 * before * r * (1 - r), 1 - z
-    dz, dr, dc = np.empty_like(z), np.empty_like(z), np.empty_like(z)
-    d = np.zeros(z.shape[1:], z.dtype)
+    (z, r), c, before, reset, new = memory
+    back_z, back_r, back_c = (w.T.copy() for w in p["u"])
+    # what a step's gradient is multiplied by, and then that gradient itself
+    stay, dr, dc = 1 - z, 1 - r, c * c
+    dz = c - before
+    for factor in (stay, z, np.asarray(2, z.dtype)):
+        dz *= factor
+    for factor in (r, before, np.asarray(2, z.dtype)):
+        dr *= factor
+    np.subtract(1, dc, out=dc)
+    dc *= z
+    d, d_reset, some = (np.zeros_like(c[0]) for _ in range(3))
     any_new = new.any(1).tolist()
     for t in range(len(x) - 1, -1, -1):
         d += d_states[t]
-        np.multiply(d, to_c[t], out=dc[t])
-        np.multiply(d, to_z[t], out=dz[t])
-        d_reset = dc[t] @ back[2]
-        np.multiply(d_reset, to_r[t], out=dr[t])
+        of_z, of_r, of_c = dz[t], dr[t], dc[t]
+        of_c *= d
+        of_z *= d
+        np.matmul(of_c, back_c, out=d_reset)
+        of_r *= d_reset
         d *= stay[t]
         d_reset *= r[t]
         d += d_reset
-        d += dz[t] @ back[0]
-        d += dr[t] @ back[1]
+        np.matmul(of_z, back_z, out=some)
+        d += some
+        np.matmul(of_r, back_r, out=some)
+        d += some
         if any_new[t]:
             d[new[t]] = 0
     flat = lambda a: a.reshape(-1, a.shape[-1])
@@ -227,19 +244,24 @@ def backward(p: dict, memory: tuple, d_states: np.ndarray, x: np.ndarray, grads:
     order = np.argsort(at.astype(np.uint16), kind="stable")
     ids = at[order]
     first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-    grads["wx"] = (ids[first], np.stack([np.add.reduceat(flat(g).take(order, axis=0), first) for g in (dz, dr, dc)]))
+    sums = row_sums(np.concatenate([flat(g).take(order, axis=0) for g in (dz, dr, dc)], axis=1), first)
+    grads["wx"] = (ids[first], sums.reshape(len(first), 3, -1).swapaxes(0, 1))
+
+
+def row_sums(a: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows of a from each place in first to the next; two columns at once, as one complex number."""
+    pairs = a.view(np.result_type(a.dtype, np.complex64))
+    return np.add.reduceat(pairs, first).view(a.dtype)
 
 
 def log_probs(p: dict, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """log P(class) and, for head tokens, + log P(token | class) of each row; with grads also the states' gradient."""
     classes = np.where(targets < HEAD, targets // MEMBERS, targets - HEAD + HEAD // MEMBERS)
 
-    def softmax(weights: np.ndarray, bias: np.ndarray, s: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities (outcomes x rows) and the log of each row's own outcome."""
-        q = weights.T @ s.T
-        q += bias[:, None]
+    def softmax(q: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """q (outcomes x rows) becomes probabilities, with grads less 1 at each row's own outcome, whose log is returned."""
         rows = np.arange(len(own))
-        if len(own) and not -60 < float(q[0].min()) <= float(q.max()) < 60:  # then exp can neither overflow nor leave a sum of 0
+        if len(own) and not -60 < float(q.min()) <= float(q.max()) < 60:  # then exp can neither overflow nor leave a sum of 0
             q -= q.max(0)
         out = q[own, rows]
         np.exp(q, out=q)
@@ -247,24 +269,34 @@ def log_probs(p: dict, states: np.ndarray, targets: np.ndarray, grads: dict | No
         if grads is not None:
             q /= total
             q[own, rows] -= 1
-        return q, out - np.log(total)
+        return out - np.log(total)
 
-    q, out = softmax(p["wc"], p["bc"], states, classes)
-    back = None
+    q = p["wc"].T @ states.T
+    q += p["bc"][:, None]
+    out, back = softmax(q, classes), None
     if grads is not None:
         grads["wc"], grads["bc"] = (q @ states).T, q.sum(1)
         grads["wi"], grads["bi"] = np.zeros_like(p["wi"]), np.zeros_like(p["bi"])
         back = q.T @ p["wc"].T
+    # head tokens by class: each class has its own weights, all else is done for all of them at once
     order = np.argsort(classes.astype(np.uint8), kind="stable")
     ends = np.searchsorted(classes[order], np.arange(HEAD // MEMBERS + 1))
-    sorted_states, places = states.take(order, axis=0), targets[order] % MEMBERS
-    for k in np.flatnonzero(ends[1:] > ends[:-1]):
-        part = slice(ends[k], ends[k + 1])
-        q, found = softmax(p["wi"][k], p["bi"][k], sorted_states[part], places[part])
-        out[order[part]] += found
-        if grads is not None:
-            grads["wi"][k], grads["bi"][k] = (q @ sorted_states[part]).T, q.sum(1)
-            back[order[part]] += q.T @ p["wi"][k].T
+    order = order[: ends[-1]]
+    if not len(order):
+        return out, back
+    s, q = states.take(order, axis=0), np.empty((MEMBERS, len(order)), states.dtype)
+    parts = [(k, slice(ends[k], ends[k + 1])) for k in np.flatnonzero(ends[1:] > ends[:-1]).tolist()]
+    for k, part in parts:
+        np.matmul(p["wi"][k].T, s[part].T, out=q[:, part])
+    q += p["bi"].T.take(classes[order], axis=1)
+    out[order] += softmax(q, targets[order] % MEMBERS)
+    if grads is not None:
+        d = np.empty_like(s)
+        for k, part in parts:
+            own = q[:, part]
+            grads["wi"][k], grads["bi"][k] = (own @ s[part]).T, own.sum(1)
+            np.matmul(own.T, p["wi"][k].T, out=d[part])
+        back[order] += d
     return out, back
 
 
@@ -278,10 +310,15 @@ class Trainer:
     def step(self, grads: dict, n: int) -> None:
         for k, g in grads.items():
             at, g = ((slice(None), g[0]), g[1]) if k == "wx" else (slice(None), g)
-            g = np.clip(g / np.float32(n), -1, 1)
-            squares = self.squares[k][at] + g * g
+            g = g / np.float32(n)
+            np.clip(g, -1, 1, out=g)
+            squares = g * g
+            squares += self.squares[k][at]
             self.squares[k][at] = squares
-            self.p[k][at] -= self.rate * g / np.sqrt(squares)
+            np.sqrt(squares, out=squares)
+            g *= self.rate
+            g /= squares
+            self.p[k][at] -= g
 
     def learn(self, docs: list[np.ndarray]) -> None:
         lanes = max(1, min(LANES, sum(map(len, docs)) // (WINDOW * UPDATES)))
@@ -396,8 +433,7 @@ def coded_texts(rows: DataFrame, lex: Lexicon) -> DataFrame:
             known = at >= 0
             count = np.where(known, lex.counts[at] if len(lex.counts) else 0, -1)
             ids = np.where(known, lex.ids[at] if len(lex.ids) else 0, -1)
-            for i, w in zip(np.flatnonzero(~known), words.filter(pa.array(~known)).to_pylist(), strict=True):
-                ids[i] = HEAD + tail(w)
+            ids[~known] = HEAD + tails(words.filter(pa.array(~known)))
             bits = np.where(known, np.log10(np.maximum(count, 0) + 0.5), 0.0)
             is_tail = ids >= HEAD
             share = np.where(is_tail, bits - np.log10(lex.tail_size)[np.where(is_tail, ids - HEAD, 0)], 0.0)

@@ -175,3 +175,40 @@ def test_state_is_carried_across_windows():
 
 def test_empty_table(spark):
     assert lm.scored(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_an_endings_hash_is_taken_once(monkeypatch):
+    words = [f"w{i}{e}" for e in ("ab", "é", "\U0001f600") for i in range(2000)] + ["x", "é", ""]
+    want = [lm.tail(w) for w in words]
+    calls, real = [], zlib.crc32
+    monkeypatch.setattr(lm.zlib, "crc32", lambda b: calls.append(b) or real(b))
+    assert lm.tails(pa.array([*words, "cut off"], pa.string()).slice(1, len(words) - 1)).tolist() == want[1:]
+    assert lm.tails(pa.array([], pa.string())).tolist() == []
+    assert len(calls) == len({w.encode()[-2:] for w in words})
+
+
+@pytest.mark.parametrize("learn", [False, True])
+def test_head_classes_share_one_softmax(monkeypatch, learn):
+    """However many classes the head tokens are of, exp is called for all at once; before, once a class."""
+    lex = lm.Lexicon([], np.zeros(0, int), np.zeros(0, int), np.full(32, 3.0), np.full(1024, 5.0), 5120, 1024)
+    p, rng = lm.start(lex), np.random.default_rng(3)
+    states = rng.normal(size=(500, lm.UNITS)).astype(np.float32)
+    p["wi"] = rng.normal(size=p["wi"].shape).astype(np.float32)
+    targets = rng.integers(0, lm.HEAD + lm.TAILS, 500)
+    one_by_one = [lm.log_probs(p, states[i : i + 1], targets[i : i + 1])[0][0] for i in range(500)]
+    calls, real = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda *a, **k: calls.append(1) or real(*a, **k))
+    found, back = lm.log_probs(p, states, targets, {} if learn else None)
+    assert len(calls) == 2 and (back is not None) == learn
+    assert np.allclose(found, one_by_one, atol=1e-4)
+
+
+def test_gates_far_from_zero_are_whole():
+    """Gates that exp can't reach the end of are 0 or 1, without a warning."""
+    lex = lm.Lexicon([], np.zeros(0, int), np.zeros(0, int), np.full(32, 3.0), np.full(1024, 5.0), 5120, 1024)
+    p = lm.start(lex)
+    p["wx"][0], p["wx"][1] = -1000, 1000
+    x = np.random.default_rng(4).integers(0, lm.HEAD, (5, 3))
+    with np.errstate(all="raise", under="ignore"):
+        states, last, _ = lm.forward(p, x, np.full((3, lm.UNITS), 0.5, np.float32))
+    assert (states == 0.5).all() and (last == 0.5).all()
